@@ -28,14 +28,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again: later steps don't repeat it, and it outlives executors.
 
-    The files go when the application ends.
+    ``by`` names a column whose values get folders of their own. The files go when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)

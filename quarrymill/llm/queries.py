@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrymill.llm import bpe, exact_dedup
+from quarrymill.llm import bpe, exact_dedup, substring
 from quarrymill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": lambda spark, sf: exact_dedup.exact_duplicates(table(spark, sf, "documents")),
     "op5_byte_bpe": lambda spark, sf: bpe.encoding_digests(table(spark, sf, "documents")),
+    "op9_substring_dedup": lambda spark, sf: substring.removal_digests(table(spark, sf, "documents")),
 }
 
 ORACLES: dict[str, str] = {"op4_exact_dedup": exact_dedup.ORACLE_SQL}
