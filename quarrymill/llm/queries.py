@@ -6,14 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrymill.llm import bpe, exact_dedup, ngram_join, substring
+from quarrymill.llm import bpe, decontam, exact_dedup, ngram_join, substring
 from quarrymill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": lambda spark, sf: ngram_join.near_copies(table(spark, sf, "documents")),
     "op4_exact_dedup": lambda spark, sf: exact_dedup.exact_duplicates(table(spark, sf, "documents")),
     "op5_byte_bpe": lambda spark, sf: bpe.encoding_digests(table(spark, sf, "documents")),
+    "op8_decontamination": lambda spark, sf: decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
     "op9_substring_dedup": lambda spark, sf: substring.removal_digests(table(spark, sf, "documents")),
 }
 
-ORACLES: dict[str, str] = {"op4_exact_dedup": exact_dedup.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op4_exact_dedup": exact_dedup.ORACLE_SQL, "op8_decontamination": decontam.ORACLE_SQL}
