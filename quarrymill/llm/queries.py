@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrymill.llm import bpe, decontam, exact_dedup, langid, ngram_join, substring, toxicity
+from quarrymill.llm import bpe, decontam, exact_dedup, langid, ngram_join, pii, substring, toxicity
 from quarrymill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": lambda spark, sf: exact_dedup.exact_duplicates(table(spark, sf, "documents")),
     "op5_byte_bpe": lambda spark, sf: bpe.encoding_digests(table(spark, sf, "documents")),
     "op6_toxicity": lambda spark, sf: toxicity.toxicity_report(table(spark, sf, "documents"), table(spark, sf, "labels")),
+    "op7_pii": lambda spark, sf: pii.personal_data_report(table(spark, sf, "documents")),
     "op8_decontamination": lambda spark, sf: decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
     "op9_substring_dedup": lambda spark, sf: substring.removal_digests(table(spark, sf, "documents")),
 }
