@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrymill.llm import bpe, decontam, exact_dedup, langid, ngram_join, pii, substring, toxicity
+from quarrymill.llm import bpe, decontam, exact_dedup, html_text, langid, ngram_join, pii, substring, toxicity
 from quarrymill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_pii": lambda spark, sf: pii.personal_data_report(table(spark, sf, "documents")),
     "op8_decontamination": lambda spark, sf: decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
     "op9_substring_dedup": lambda spark, sf: substring.removal_digests(table(spark, sf, "documents")),
+    "op10_html_text": lambda spark, sf: html_text.extract_pages(table(spark, sf, "pages")),
 }
 
 ORACLES: dict[str, str] = {"op4_exact_dedup": exact_dedup.ORACLE_SQL, "op8_decontamination": decontam.ORACLE_SQL}
