@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrymill.llm import bpe, decontam, exact_dedup, html_text, langid, ngram_join, pii, substring, toxicity
+from quarrymill.llm import bpe, decontam, exact_dedup, html_text, langid, ngram_join, pii, quotes, substring, toxicity
 from quarrymill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": lambda spark, sf: ngram_join.near_copies(table(spark, sf, "documents")),
+    "op2_quote_links": lambda spark, sf: quotes.reply_order(table(spark, sf, "conversations")),
     "op3_language_id": lambda spark, sf: langid.language_report(table(spark, sf, "documents")),
     "op4_exact_dedup": lambda spark, sf: exact_dedup.exact_duplicates(table(spark, sf, "documents")),
     "op5_byte_bpe": lambda spark, sf: bpe.encoding_digests(table(spark, sf, "documents")),
