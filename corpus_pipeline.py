@@ -1,26 +1,61 @@
-"""The corpus pipeline: operators applied to the documents, one after the other."""
+"""The corpus pipeline: language ID, exact dedup, near-copy dedup, benchmark decontamination, tokens.
+
+Each stage works on all that the one before kept and is written before the next reads it. All but the last return the
+columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarrymill.llm import exact_dedup
+from quarrymill.llm import bpe, decontam, exact_dedup, langid, ngram_join
 from quarrymill.llm.common import stage, table
 
 
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: texts in no language, and those that none of the learned languages fits well, go."""
+    return langid.accepted(docs)
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exact dedup: of equal texts the smallest doc_id stays."""
     return exact_dedup.drop_duplicates(docs)
 
 
-STAGES = [("exact dedup", drop_exact_copies)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: of documents that links of 0.8 or more of five-word shingles connect, the smallest doc_id
+    stays. Documents without words link with nothing and stay."""
+    found = ngram_join.near_copies(docs, n=5, tenths=8)
+    gone = found.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents that hold 0.8 of a test item's five-word shingles go."""
+    return decontam.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Byte-level BPE: ids, and the digests of ids and of the bytes decoded from them."""
+    return bpe.encoded_with_digests(docs)
+
+
+STAGES = [
+    ("language ID", keep_languages),
+    ("exact dedup", drop_exact_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("byte-level BPE", tokens),
+]
 
+#: A trained model and a tokenizer are beyond SQL; the tests compare the stages with plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``; each result is written and read again before the next."""
     docs = table(spark, sf_dir, "documents")
-    for k, (name, step) in enumerate(STAGES):
+    for k, (_, step) in enumerate(STAGES):
         docs = stage(step(spark, docs, sf_dir), f"pipeline-{k}")
     return docs

@@ -223,6 +223,14 @@ def encoding_digests(
     return _run(docs, path, pattern, id_col, text_col, "n_tokens long, ids_sha256 string, decoded_sha256 string", _digest)
 
 
+def encoded_with_digests(
+    docs: DataFrame, path: str | None = None, pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256, ids): :func:`encoding_digests` with the ids."""
+    columns = "n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>"
+    return _run(docs, path, pattern, id_col, text_col, columns, lambda p, d: (*_digest(p, d), _full(p, d)[0]))
+
+
 def _full(packed: bytes, decoded: bytes) -> tuple:
     return np.frombuffer(packed, "<u4").astype(np.int32).tolist(), decoded
 
