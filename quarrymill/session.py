@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -22,3 +24,13 @@ def get_session(master: str | None = None, app: str = "quarrymill", **conf: str)
     for key, value in (settings | conf).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, from spark.checkpoint.dir; a temporary one where it is unset,
+    as in tests."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        found = tempfile.mkdtemp(prefix="quarrymill-")
+        spark.sparkContext.setCheckpointDir(found)
+    return found
