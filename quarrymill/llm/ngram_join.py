@@ -127,9 +127,10 @@ class _Join:
         leads = self.profile.select("row", "n", "counts").join(self.nodes.select("row", "node"), "row")
         level = F.least(F.shiftright("shingle", 61), F.lit(2)).cast("int")
         item = F.struct(level.alias("level"), F.col("df"), F.col("shingle"))
-        mine = given.join(shared, "shingle").groupBy("row").agg(F.sort_array(F.collect_list(item)).alias("items"))
-        of_level = lambda k: F.size(F.filter("items", lambda x: x.level == k))
-        alone = [F.element_at("counts", k + 1) - of_level(k) for k in range(3)]
+        mine = given.join(shared, "shingle").groupBy("row").agg(
+            F.sort_array(F.collect_list(item)).alias("items"), *(F.count_if(level == k).cast("int").alias(f"shared_{k}") for k in range(3))
+        )
+        alone = [F.element_at("counts", k + 1) - F.col(f"shared_{k}") for k in range(3)]
         before = F.array(alone[0], alone[0] + alone[1], alone[0] + alone[1] + alone[2])
         placed = F.transform("items", lambda x, k: F.struct(x.shingle.alias("shingle"), (k + F.get(F.col("before"), x.level)).alias("at")))
         rows = (
