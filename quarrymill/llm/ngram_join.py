@@ -4,9 +4,10 @@ The global order of shingles is cut into fragments. The first fragment holds the
 link must share a shingle in their prefixes there (prefix filter), which gives candidates. Candidates' overlaps are
 counted in each fragment by itself and summed per pair; the sum decides.
 
-* The order: shingles by the first bits of their hash (level), then by document frequency, then by hash. A document
-  gives out whole levels, until they hold well over its prefix, and frequency is counted over all documents that give
-  the shingle out. So a quarter of the shingles is counted in place of all, and prefixes are exact in this order.
+* The order: shingles by the first bits of their hash (one of eight levels), then by document frequency, then by hash.
+  A document gives out whole levels, until they hold well over its prefix, and frequency is counted over all documents
+  that give the shingle out. So a quarter of the shingles is counted in place of all (at 0.9), and prefixes are exact in
+  this order.
 * Documents of one set are one class and are joined once.
 * A bucket has the documents with one prefix shingle. A group of m near copies has m * m / 2 links; only what they
   connect is asked for. So buckets are joined with their centre (the document with the fewest unshared shingles)
@@ -30,6 +31,9 @@ from quarrymill.llm.components import connected_components
 
 FRAGMENTS = 4
 BITS = 512
+#: Levels of the order, by the first bits of a 63-bit hash.
+LEVEL_BITS = 3
+LEVELS = 1 << LEVEL_BITS
 
 
 def shingle_set(text: str | None, n: int) -> np.ndarray:
@@ -52,14 +56,14 @@ def _profile(n: int, tenths: int):
             for text in texts:
                 s = shingle_set(text, n)
                 size = len(s)
-                levels = np.searchsorted(s, np.array([1 << 61, 1 << 62], np.uint64))
-                need = min(size, 3 * prefix_length(size, tenths) // 2 + 2) if needs_partner(size, tenths) else 0
-                end = 0 if not need else next((int(e) for e in levels if e >= need), size)
+                levels = np.searchsorted(s, np.arange(1, LEVELS + 1, dtype=np.uint64) << np.uint64(63 - LEVEL_BITS))
+                need = min(size, 5 * prefix_length(size, tenths) // 4 + 2) if needs_partner(size, tenths) else 0
+                end = int(levels[np.searchsorted(levels, need)]) if need else 0
                 sizes.append(size)
                 signs.append(xxhash.xxh3_128_digest(s.tobytes()) if size else None)
                 bitmaps.append(parity(s) if end else [])
                 given.append(s[:end].view(np.int64))
-                counts.append([int(min(levels[0], end)), int(min(levels[1], end) - min(levels[0], end)), int(max(0, end - levels[1]))])
+                counts.append(np.diff(np.minimum(levels, end), prepend=0).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(signs, pa.binary()), pa.array(bitmaps, pa.list_(pa.int64())), pa.array(given, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))],
                 names=["row", "id", "n", "sign", "bits", "given", "counts"],
@@ -125,18 +129,18 @@ class _Join:
         given = self.profile.select("row", F.explode("given").alias("shingle"))
         shared = given.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
         leads = self.profile.select("row", "n", "counts").join(self.nodes.select("row", "node"), "row")
-        level = F.least(F.shiftright("shingle", 61), F.lit(2)).cast("int")
+        level = F.shiftright("shingle", 63 - LEVEL_BITS).cast("int")
         item = F.struct(level.alias("level"), F.col("df"), F.col("shingle"))
         mine = given.join(shared, "shingle").groupBy("row").agg(
-            F.sort_array(F.collect_list(item)).alias("items"), *(F.count_if(level == k).cast("int").alias(f"shared_{k}") for k in range(3))
+            F.sort_array(F.collect_list(item)).alias("items"), *(F.count_if(level == k).cast("int").alias(f"shared_{k}") for k in range(LEVELS))
         )
-        alone = [F.element_at("counts", k + 1) - F.col(f"shared_{k}") for k in range(3)]
-        before = F.array(alone[0], alone[0] + alone[1], alone[0] + alone[1] + alone[2])
+        alone = [F.element_at("counts", k + 1) - F.col(f"shared_{k}") for k in range(LEVELS)]
+        before = F.array(*(reduce(lambda u, v: u + v, alone[: k + 1]) for k in range(LEVELS)))
         placed = F.transform("items", lambda x, k: F.struct(x.shingle.alias("shingle"), (k + F.get(F.col("before"), x.level)).alias("at")))
         rows = (
             leads.join(mine, "row").withColumn("before", before)
             .withColumn("prefix", F.filter(placed, lambda x: x.at < F.col("n") - F.floor((self.tenths * F.col("n") + 9) / 10) + 1))
-            .select("node", "n", (1000 * F.element_at("before", 3) / F.aggregate("counts", F.lit(0), lambda x, y: x + y)).cast("int").alias("unshared"), F.explode("prefix").alias("p"))
+            .select("node", "n", (1000 * F.element_at("before", LEVELS) / F.aggregate("counts", F.lit(0), lambda x, y: x + y)).cast("int").alias("unshared"), F.explode("prefix").alias("p"))
             .select("p.shingle", "node", "n", F.col("p.at").cast("long").alias("at"), "unshared")
         )
         found = stage(rows, "prefixes")
