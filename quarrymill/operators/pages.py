@@ -8,10 +8,10 @@ from html.parser import HTMLParser
 from urllib.parse import urldefrag, urljoin
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrymill.functions.urls import crawlable, segments
+from quarrymill.functions.urls import bare, crawlable, person_link, segments
 from quarrymill.session import ensure_checkpoint_dir
 
 # Places of content and of links (fixed values).
@@ -219,3 +219,11 @@ def frontier(start: DataFrame, fetch, hosts: list[str], depth: int, most: int) -
         if now.isEmpty():
             break
     return out
+
+
+def person_links(fields: DataFrame, key: str = "page_id", other_sites: tuple[str, ...] = ()) -> DataFrame:
+    """(key, pos, text, url) of a list's links to single persons, the first of those that differ in query or fragment
+    alone."""
+    good = link_rows(fields, key).where(person_link(F.col("url"), F.col("text"), other_sites))
+    nth = F.row_number().over(Window.partitionBy(key, bare(F.col("url"))).orderBy("pos"))
+    return good.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
