@@ -4,8 +4,8 @@ Windows get Rabin-Karp hashes, which Spark counts; repeated windows merge into m
 count small without losing a window:
 
 * Rows of one word sequence share every window, so the smallest id stands for them and the others are removed whole.
-* Equal windows have equal least 8-grams (by hash). A window whose least 8-gram, its anchor, occurs in one word
-  sequence alone can't be repeated. Anchors are about one word in twenty; windows with repeated anchors are counted.
+* Equal windows have equal least 8-grams (by hash). A window whose least 8-gram, its anchor, occurs in one document
+  alone, copies aside, can't be repeated. Anchors are about one word in twenty; windows with repeated anchors are counted.
 """
 
 from __future__ import annotations
@@ -172,15 +172,13 @@ def remove_repeats(docs: DataFrame, window: int = 50, digest: bool = False, id_c
         "anchors",
     )
     leads = profile.groupBy("sequence").agg(F.min("id").alias("lead"))
-    occurrences = profile.select("sequence", F.explode("anchors").alias("anchor"))
-    repeated = (
-        occurrences.groupBy("anchor").agg(F.min("sequence").alias("a"), F.max("sequence").alias("b")).where("a < b").select("anchor")
-    )
-    lists = occurrences.distinct().join(repeated, "anchor").groupBy("sequence").agg(F.collect_list("anchor").alias("repeated"))
+    of_leads = profile.join(leads, ["sequence"]).where("id = lead").select("id", "row_key", F.explode("anchors").alias("anchor"))
+    repeated = of_leads.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("anchor")
+    lists = of_leads.join(repeated, "anchor").groupBy("id", "row_key").agg(F.collect_set("anchor").alias("repeated"))
     nth = F.dense_rank().over(_by_id()) - 1
     info = (
         profile.select("id", "row_key", "sequence").distinct().withColumn("nth", nth)
-        .join(leads, "sequence").join(lists, "sequence", "left")
+        .join(leads, "sequence").join(lists, ["id", "row_key"], "left")
         .select("id", "row_key", "nth", (F.col("lead") < F.col("id")).alias("copy"), "repeated")
         .where("copy OR repeated IS NOT NULL")
         .select("id", "row_key", "nth", "copy", F.when(~F.col("copy"), F.col("repeated")).alias("repeated"))
@@ -195,9 +193,11 @@ def remove_repeats(docs: DataFrame, window: int = 50, digest: bool = False, id_c
         by="kind",
     )
     windows = parts.where(F.col("kind") == WINDOWS).select("id", "nth", "at", "one", "two")
-    first = windows.groupBy("one", "two").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    both = windows.groupBy("one", "two").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    # Written, so that the join below deals both sides itself and can split the windows of a hot passage.
+    first = stage(both.where("first < last").drop("last"), "repeated")
     starts = (
-        windows.join(first.drop("last"), ["one", "two"]).where("first < id").groupBy("id", "nth").agg(F.collect_list("at").alias("starts"))
+        windows.join(first, ["one", "two"]).where("first < id").groupBy("id", "nth").agg(F.collect_list("at").alias("starts"))
     )
     waiting = parts.where(F.col("kind") == WAITING).select("id", "row_key", "text")
     keyed = starts.join(info.where("NOT copy").select("id", "nth", "row_key"), ["id", "nth"]).select("id", "row_key", "starts")
