@@ -32,6 +32,12 @@ def blank(c: Column) -> Column:
     return F.coalesce(c, F.lit("")) == ""
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is made once. A plain expression that is used several times is made as often; here it
+    is the variable of a lambda over an array of one."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+\\z", "")
 
@@ -72,13 +78,25 @@ def script_runs(c: Column) -> Column:
     return count(c, SCRIPT_RUN)
 
 
+def has_any(c: Column, parts) -> Column:
+    """Whether any of ``parts`` occurs; it ends with the first one found."""
+
+    def found(x: Column) -> Column:
+        out = F.lit(False)
+        for p in parts:
+            out = out | x.contains(p)
+        return out
+
+    return let(c, found)
+
+
 def density(c: Column) -> Column:
     """Number of distinct script runs."""
     return F.size(F.array_distinct(F.regexp_extract_all(c, F.lit(SCRIPT_RUN), F.lit(0)))).cast("long")
 
 
 def share(c: Column, pattern: str) -> Column:
-    """The share of characters that match; 0 for an empty text."""
+    """The share of characters that match; 0 for an empty text. ``c`` is used three times."""
     return F.when(F.length(c) == 0, 0.0).otherwise(count(c, pattern) / F.length(c))
 
 
@@ -95,10 +113,8 @@ def first_of_long(items: Column, least: int) -> Column:
 
 
 def no_third_repeat(items: Column) -> Column:
-    """Of a run of equal strings the first two. The array is the variable of a lambda, so that it is made once and not
-    for each of its elements."""
-    kept = F.transform(F.array(items), lambda a: F.filter(a, lambda x, i: ~((i >= 2) & (x == F.get(a, i - 1)) & (x == F.get(a, i - 2)))))
-    return F.get(kept, F.lit(0))
+    """Of a run of equal strings the first two."""
+    return let(items, lambda a: F.filter(a, lambda x, i: ~((i >= 2) & (x == F.get(a, i - 1)) & (x == F.get(a, i - 2)))))
 
 
 def cleaned(c: Column, patterns, least: int, runs: bool) -> Column:
