@@ -127,7 +127,8 @@ class _Join:
     def buckets(self) -> DataFrame:
         """(shingle, node, n, at, unshared): prefix shingles that two documents or more have in their prefixes."""
         given = self.profile.select("row", F.explode("given").alias("shingle"))
-        shared = given.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+        # Written, as are the centres below: the join then deals both sides itself and can split a hot shingle's rows.
+        shared = stage(given.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequencies")
         leads = self.profile.select("row", "n", "counts").join(self.nodes.select("row", "node"), "row")
         level = F.shiftright("shingle", 63 - LEVEL_BITS).cast("int")
         item = F.struct(level.alias("level"), F.col("df"), F.col("shingle"))
@@ -178,6 +179,8 @@ class _Join:
                 open_ = buckets.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
                 several = open_.groupBy("shingle").agg(F.min("label").alias("u"), F.max("label").alias("v")).where("u < v").select("shingle")
                 work = stage(open_.join(several, "shingle"), "open")
+                if work.isEmpty():
+                    return found
             else:
                 work = buckets.withColumn("label", F.col("node"))
             if step == "rest":
@@ -193,7 +196,7 @@ class _Join:
                 if step == "centres":  # and the best one outside of the first one's component
                     other = work.join(first, "shingle").where(F.col("label") != F.col("c.label")).groupBy("shingle").agg(F.min(rank).alias("c"))
                     first = first.unionByName(other)
-                centre = first.select("shingle", *(F.col(f"c.{c}").alias(f"{c}_a") for c in ("node", "n", "at", "label", "unshared")))
+                centre = stage(first, "centres").select("shingle", *(F.col(f"c.{c}").alias(f"{c}_a") for c in ("node", "n", "at", "label", "unshared")))
                 member = work.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "at", "label")))
                 pairs = centre.join(member, "shingle").where((F.col("label_a") != F.col("label_b")) & self.possible("a", "b"))
                 if step == "nearest centre":
@@ -217,7 +220,7 @@ def near_copies(docs: DataFrame, n: int = 3, tenths: int = 9, id_col: str = "doc
     work = _Join(docs, n, tenths, id_col, text_col)
     labels = work.labels()
     classes = work.nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    low = classes.groupBy("label").agg(F.min("lead").alias("component_id"))
+    low = stage(classes.groupBy("label").agg(F.min("lead").alias("component_id")), "components")
     of_sign = classes.join(low, "label").select("sign", "component_id")
     rows = work.profile.select("id", "n", "sign").join(of_sign, "sign", "left")
     component = F.when(F.col("id").isNull(), None).otherwise(F.coalesce("component_id", "id"))

@@ -171,9 +171,11 @@ def remove_repeats(docs: DataFrame, window: int = 50, digest: bool = False, id_c
         rows.where("id IS NOT NULL").select("id", "row_key", "text").mapInArrow(_profile(window), f"id {kind}, row_key long, sequence binary, anchors array<long>"),
         "anchors",
     )
-    leads = profile.groupBy("sequence").agg(F.min("id").alias("lead"))
+    # Tables that are joined with what they were counted from are written: the join then deals both sides itself, and
+    # can split the rows of a hot group of copies, anchors or windows.
+    leads = stage(profile.groupBy("sequence").agg(F.min("id").alias("lead")), "leads")
     of_leads = profile.join(leads, ["sequence"]).where("id = lead").select("id", "row_key", F.explode("anchors").alias("anchor"))
-    repeated = of_leads.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("anchor")
+    repeated = stage(of_leads.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("anchor"), "repeated-anchors")
     lists = of_leads.join(repeated, "anchor").groupBy("id", "row_key").agg(F.collect_set("anchor").alias("repeated"))
     nth = F.dense_rank().over(_by_id()) - 1
     info = (
@@ -194,7 +196,6 @@ def remove_repeats(docs: DataFrame, window: int = 50, digest: bool = False, id_c
     )
     windows = parts.where(F.col("kind") == WINDOWS).select("id", "nth", "at", "one", "two")
     both = windows.groupBy("one", "two").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    # Written, so that the join below deals both sides itself and can split the windows of a hot passage.
     first = stage(both.where("first < last").drop("last"), "repeated")
     starts = (
         windows.join(first, ["one", "two"]).where("first < id").groupBy("id", "nth").agg(F.collect_list("at").alias("starts"))
