@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -34,3 +36,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         found = tempfile.mkdtemp(prefix="quarrymill-")
         spark.sparkContext.setCheckpointDir(found)
     return found
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package's modules to the executors, once for an application, so that they need no copy of it."""
+    context, root = spark.sparkContext, Path(__file__).parent
+    if getattr(context, "_quarrymill_shipped", False) or not root.is_dir():
+        return
+    path = Path(tempfile.mkdtemp(prefix="quarrymill-")) / "quarrymill.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for module in sorted(root.rglob("*.py")):
+            archive.write(module, module.relative_to(root.parent))
+    context.addPyFile(str(path))
+    context._quarrymill_shipped = True
