@@ -57,7 +57,7 @@ def _profile(n: int, tenths: int):
                 s = shingle_set(text, n)
                 size = len(s)
                 levels = np.searchsorted(s, np.arange(1, LEVELS + 1, dtype=np.uint64) << np.uint64(63 - LEVEL_BITS))
-                need = min(size, 5 * prefix_length(size, tenths) // 4 + 2) if needs_partner(size, tenths) else 0
+                need = min(size, prefix_length(size, tenths) + size // 40 + 2) if needs_partner(size, tenths) else 0
                 end = int(levels[np.searchsorted(levels, need)]) if need else 0
                 sizes.append(size)
                 signs.append(xxhash.xxh3_128_digest(s.tobytes()) if size else None)
