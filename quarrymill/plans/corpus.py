@@ -35,13 +35,13 @@ def clean_report_by_source(spark, sf):
 
 
 def dedup_mark_before(spark, sf):
-    first = quality.first_seen(docs(spark, sf), F.substring("text", 1, 40), ["doc_id"], ["source"])
+    first = quality.first_seen(docs(spark, sf), F.md5("text"), ["doc_id"], ["source"])
     return first.where(F.length(T.compact(F.col("text"))) >= 400).select("doc_id", "source")
 
 
 def dedup_mark_after(spark, sf):
     good = docs(spark, sf).where(F.length(T.compact(F.col("text"))) >= 400)
-    return quality.first_seen(good, F.substring("text", 1, 40), ["doc_id"], ["source"]).select("doc_id", "source")
+    return quality.first_seen(good, F.md5("text"), ["doc_id"], ["source"]).select("doc_id", "source")
 
 
 def of_documents(**columns):
