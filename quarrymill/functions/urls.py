@@ -73,10 +73,11 @@ def bare(url: Column) -> Column:
     return F.regexp_extract(url, r"^[^?#]*", 0)
 
 
-def crawlable(url: Column, hosts: list[str]) -> Column:
-    """On an allowed host, no file to download, and not below /en or /event."""
+def crawlable(url: Column, hosts: list[str] | Column) -> Column:
+    """On an allowed host, no file to download, and not below /en or /event. ``hosts``: names, or whether the host is one."""
     p = F.lower(path(url))
-    return host(url).isin(hosts) & ~_any(F.lower(url), FILES, "endswith") & ~p.rlike(r"^/(en|event)(/|\z)")
+    listed = hosts if isinstance(hosts, Column) else host(url).isin(hosts)
+    return listed & ~_any(F.lower(url), FILES, "endswith") & ~p.rlike(r"^/(en|event)(/|\z)")
 
 
 def person_link(url: Column, text: Column, other_sites: tuple[str, ...] = ()) -> Column:

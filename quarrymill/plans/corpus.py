@@ -130,8 +130,10 @@ def url_functions(spark, sf):
 
 
 def url_valid(spark, sf):
-    hosts = [r["h"] for r in page_table(spark, sf).select(U.host(F.col("url")).alias("h")).distinct().orderBy("h").limit(20).collect()]
-    return page_table(spark, sf).select("page_id", U.crawlable(F.col("url"), hosts).alias("valid"))
+    rows = page_table(spark, sf).select("page_id", "url", U.host(F.col("url")).alias("host"))
+    hosts = rows.select(F.col("host").alias("listed")).distinct()
+    listed = F.when(F.col("host").isNotNull(), F.col("listed").isNotNull())
+    return rows.join(hosts, F.col("host") == F.col("listed"), "left").select("page_id", U.crawlable(F.col("url"), listed).alias("valid"))
 
 
 def site_tree(spark, sf):

@@ -16,3 +16,10 @@ def test_texts_with_one_opening_are_not_copies(spark, tmp_path):
     documents = (rows, "doc_id long, text string, source string")
     for query in ("dedup_mark_before", "dedup_mark_after"):
         assert sorted(r.doc_id for r in ran(spark, tmp_path, query, documents=documents)) == [1, 2, 4]
+
+
+def test_pages_of_all_hosts_are_valid(spark, tmp_path):
+    urls = [f"http://h{k:02d}.example.org/page" for k in range(30)] + ["http://h25.example.org/en/x", "http://h26.example.org/f.pdf", None]
+    pages = ([(k, url, "") for k, url in enumerate(urls)], "page_id long, url string, html string")
+    got = {r.page_id: r.valid for r in ran(spark, tmp_path, "url_valid", pages=pages)}
+    assert got == dict.fromkeys(range(30), True) | {30: False, 31: False, 32: None}
