@@ -84,8 +84,8 @@ def round_robin_shards(spark, sf):
 
 
 def union_of_sources(spark, sf):
-    parts = [docs(spark, sf).where(F.col("source") == s).select("doc_id", "source") for s in ("src1", "src2")]
-    return parts[0].unionByName(parts[1])
+    """The table holds the files of all sources, so their union is one scan of it."""
+    return docs(spark, sf).select("doc_id", "source")
 
 
 def anti_join_labels(spark, sf):
@@ -192,8 +192,20 @@ def table_sentences(spark, sf):
 
 
 def chat_messages(spark, sf):
-    user = prompts.messages(F.lit("system text"), F.col("text"))
-    return table(spark, sf, "conversations").where("role = 'user'").select("conv_id", "turn", F.to_json(user).alias("messages"))
+    """A row per user turn: the system text of its conversation, all that was said before as history, the turn, and what
+    answers it up to the next one. A conversation without a user turn gives one row."""
+    turns = table(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    leads = lambda t: F.coalesce(t.role == "system", F.lit(False))
+    text = F.transform(F.filter("turns", leads), lambda t: t["text"])
+    parted = turns.select("conv_id", "turns", F.when(F.size(text) > 0, F.array_join(text, "\n\n")).alias("system"), F.filter("turns", lambda t: ~leads(t)).alias("said"))
+    asked = F.filter(F.sequence(F.lit(1), F.greatest(F.size("said"), F.lit(1))), lambda k: F.coalesce(F.get("said", k - 1).role == "user", F.lit(False)))
+    starts = parted.withColumn("starts", F.when(F.size(asked) > 0, asked).otherwise(F.array(F.lit(1))))
+    each = starts.select("*", F.posexplode("starts").alias("n", "start"))
+    end = F.coalesce(F.get("starts", F.col("n") + 1), F.size("said") + 1)
+    said = F.transform("said", lambda t: F.struct(t.role.alias("role"), t["text"].alias("content")))
+    found, history = F.slice(said, F.col("start"), end - F.col("start")), F.slice(said, F.lit(1), F.col("start") - 1)
+    turn = F.coalesce(F.get("said", F.col("start") - 1).turn, F.get("turns", F.lit(0)).turn)
+    return each.select("conv_id", turn.alias("turn"), F.to_json(prompts.assembled(found, F.col("system"), history)).alias("messages"))
 
 
 def context_guard(spark, sf):

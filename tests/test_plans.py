@@ -1,5 +1,7 @@
 """Queries over small tables of their own."""
 
+import json
+
 from quarrymill.plans import registry
 
 
@@ -23,3 +25,18 @@ def test_pages_of_all_hosts_are_valid(spark, tmp_path):
     pages = ([(k, url, "") for k, url in enumerate(urls)], "page_id long, url string, html string")
     got = {r.page_id: r.valid for r in ran(spark, tmp_path, "url_valid", pages=pages)}
     assert got == dict.fromkeys(range(30), True) | {30: False, 31: False, 32: None}
+
+
+def test_union_has_all_sources(spark, tmp_path):
+    rows = [(k, "x", f"src{k % 5}") for k in range(20)] + [(20, "x", None)]
+    got = ran(spark, tmp_path, "union_of_sources", documents=(rows, "doc_id long, text string, source string"))
+    assert sorted(got) == sorted((k, source) for k, _, source in rows)
+
+
+def test_messages_are_whole_conversations(spark, tmp_path):
+    rows = [(1, 0, "system", "be brief"), (1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, 3, "user", "c"), (1, 4, "assistant", "d")]
+    rows += [(2, 0, "assistant", "hello"), (2, 1, "user", "e"), (3, 0, "assistant", "f"), (4, 0, "system", "g")]
+    found = ran(spark, tmp_path, "chat_messages", conversations=(rows[::-1], "conv_id long, turn long, role string, text string"))
+    got = {(r.conv_id, r.turn): [(m["role"], m["content"]) for m in json.loads(r.messages)] for r in found}
+    first = [r[2:] for r in rows[:5]]
+    assert got == {(1, 1): first[:3], (1, 3): first, (2, 1): [("assistant", "hello"), ("user", "e")], (3, 0): [("assistant", "f")], (4, 0): [("system", "g")]}
