@@ -168,15 +168,16 @@ def course_dedup(spark, sf):
 
 
 def upsert_merge(spark, sf):
+    """Parts up to size 30 are listed and those from 20 tabled, so that each is on one side at least, and some on both."""
     p = F.col("p_partkey")
     part = table(spark, sf, "part")
     code = F.concat(F.lit("CSC"), (1000 + p % 1000).cast("string"))
     none = F.lit(None).cast("string")
-    listed = part.where(p % 2 == 0).select(
+    listed = part.where("p_size <= 30").select(
         F.col("p_brand").alias("scheme"), code.alias("code"), p.alias("list_no"), F.lit("required").alias("course_type"), F.when(p % 4 == 0, F.col("p_name")).alias("name_en"),
         none.alias("name_zh"), F.when(p % 3 == 0, F.col("p_size")).alias("units"), F.lit(1000).alias("level"),
     )
-    tabled = part.where(p % 5 != 0).select(
+    tabled = part.where("p_size >= 20 OR p_size IS NULL").select(
         F.col("p_brand").alias("scheme"), code.alias("code"), p.alias("row_no"), F.concat(F.lit("T "), F.col("p_name")).alias("name_en"), none.alias("name_zh"),
         (F.col("p_size") + 100).alias("units"), F.lit(1000).alias("level"),
     )
@@ -243,11 +244,11 @@ def batch_topk_per_query(spark, sf):
 
 
 def graph(spark, sf):
-    """Chunks, entities (the first vector of each label) and relations (every seventh vector, between neighbour labels)."""
+    """Chunks, entities (the first vector of each label) and relations (every vector, between neighbour labels)."""
     vectors = table(spark, sf, "embeddings")
     chunks = vectors.select(F.col("vec_id").alias("chunk_id"), "embedding")
     entities = vectors.groupBy(F.col("label").alias("entity")).agg(F.min_by("embedding", "vec_id").alias("embedding"))
-    relations = vectors.where("vec_id % 7 = 3").select(
+    relations = vectors.select(
         F.col("vec_id").alias("relation"), F.col("label").alias("src"), ((F.col("label") + 1) % 10).alias("dst"), "embedding", F.col("vec_id").alias("chunk_id")
     )
     return chunks, entities, relations

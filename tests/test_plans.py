@@ -40,3 +40,18 @@ def test_messages_are_whole_conversations(spark, tmp_path):
     got = {(r.conv_id, r.turn): [(m["role"], m["content"]) for m in json.loads(r.messages)] for r in found}
     first = [r[2:] for r in rows[:5]]
     assert got == {(1, 1): first[:3], (1, 3): first, (2, 1): [("assistant", "hello"), ("user", "e")], (3, 0): [("assistant", "f")], (4, 0): [("system", "g")]}
+
+
+def test_every_vector_can_be_found_by_the_graph(spark, tmp_path):
+    embeddings = ([(k, [1.0, 0.0], k % 2) for k in range(20)], "vec_id long, embedding array<double>, label int")
+    for query in ("retrieve_local", "retrieve_mix"):
+        assert sorted(r.chunk_id for r in ran(spark, tmp_path, query, embeddings=embeddings)) == list(range(20))
+    for query in ("retrieve_global", "retrieve_hybrid"):
+        assert {r.chunk_id for r in ran(spark, tmp_path, query, embeddings=embeddings)} >= {0, 2, 4}
+
+
+def test_every_part_is_merged(spark, tmp_path):
+    rows = [(k, f"n{k}", "b", None if k == 60 else k % 50 + 1, 1.0) for k in range(1, 61)]
+    got = ran(spark, tmp_path, "upsert_merge", part=(rows, "p_partkey long, p_name string, p_brand string, p_size int, p_retailprice double"))
+    assert sorted(r.code for r in got) == [f"CSC{1000 + k}" for k in range(1, 61)]
+    assert {r.course_type for r in got} == {"required", "elective"}
