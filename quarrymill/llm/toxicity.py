@@ -1,7 +1,7 @@
 """Toxicity of texts as written to be read: a noisy-channel model restores disguised words, and restored text is scored.
 
-A character trigram model counts the whole corpus. Words with leetspeak, spacing or stretched letters become lattices of
-what they may stand for; Viterbi finds the likeliest spelling under channel costs and the character model. Words and
+A character trigram model counts the whole corpus. Words with leetspeak, separators or repeated letters, and runs of
+short words that may be one word in pieces, become lattices of what they may stand for; Viterbi finds the likeliest spelling under channel costs and the character model. Words and
 word beginnings that mark toxic texts in a bounded labelled sample have weights; a logistic regression on a text's
 strongest weight and on how many words have one gives the score.
 """
@@ -27,6 +27,8 @@ TOXIC_ROWS, CLEAN_ROWS = 1500, 4500
 SHARE, TIMES = 0.01, 40
 THRESHOLD = 0.3
 CACHED = 300_000
+#: Words of up to so many characters may be pieces of one; longer runs of them are always decoded.
+PIECE, RUN = 4, 64
 
 #: Letters of the character model; all else is a word's edge (symbol 0). The table has (1 + letters) ** 3 counts.
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
@@ -41,7 +43,8 @@ _SYMBOL = {c: k for k, c in enumerate(LETTERS, 1)}
 _OF_BYTE = np.array([_SYMBOL.get(bytes([b]).decode("latin-1"), 0) for b in range(256)], np.int64)
 _EDGE = re.compile(r"^[^\w@$]+|[\W_]+$")
 _RUN = re.compile(r"(.)\1*", re.S)
-_ODD = re.compile(r"([^\W\d_])\1\1|[^\W\d_][\W\d_]+(?=[^\W_]|[@$!|+€£(])|[0-9@$!|+€£(]+[^\W\d_]")
+_ODD = re.compile(r"([^\W\d_])\1|[^\W\d_][\W\d_]+(?=[^\W_]|[@$!|+€£(])|[0-9@$!|+€£(]", re.I)
+_BEFORE, _AFTER = re.compile(r"^[^\w@$!|+€£(]+"), re.compile(r"[^\w@$|+€£]+$")
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -98,44 +101,51 @@ class Spelling:
         return "".join(reversed(out)).split()
 
 
+def odd(word: str) -> bool:
+    """Whether a word has letters, and a sign that may stand for one, a separator or a letter twice in a row."""
+    return bool(_ODD.search(word) and _LETTER.search(word))
+
+
 def forms(word: str, spelling: Spelling) -> list[str]:
     """A written word without signs at its edges, lower-cased, and its restored spelling where it looks disguised."""
     core = _EDGE.sub("", word.lower())
     out = [core] if core else []
-    if _ODD.search(word) and _LETTER.search(word):
+    if odd(word):
         out += [w for w in spelling.restore(word) if w not in out]
     return out
 
 
-def spaced(words: list[str]) -> list[str]:
-    """Runs of three or more single characters, which may be one spaced-out word."""
-    out, start = [], None
-    for k in [k for k, w in enumerate(words) if len(w) == 1] + [None]:
-        if start is not None and k != start + len(run):
-            if len(run) > 2:
-                out.append(" ".join(run))
-            start = None
-        if k is not None:
-            if start is None:
-                start, run = k, []
-            run.append(words[k])
+def runs(words: list[str]) -> list[tuple[int, int, list[str]]]:
+    """(start, end, pieces) of runs of two or more short words, which may be words in pieces, some with letters.
+
+    Pieces are lower-cased and without punctuation before and after them.
+    """
+    out, run = [], []
+    for k, w in enumerate([*words, None]):
+        piece = None if w is None or len(w) > PIECE + 4 else _AFTER.sub("", _BEFORE.sub("", w.lower())) or w
+        if piece is not None and len(piece) <= PIECE:
+            run.append(piece)
+            continue
+        if len(run) > 1 and _LETTER.search("".join(run)):
+            out.append((k - len(run), k, run))
+        run = []
     return out
 
 
+def joined(run: list[str], spelling: Spelling) -> list[str]:
+    """The distinct words of a run's likeliest spelling that it doesn't have as they are."""
+    own = set(run)
+    return [w for w in dict.fromkeys(spelling.restore(" ".join(run))) if w not in own]
+
+
 def restored_text(text: str | None, spelling: Spelling) -> str:
     """A text with its disguised words restored."""
     words, at, out = (text or "").split(), 0, []
-    while at < len(words):
-        end = at
-        while end < len(words) and len(words[end]) == 1:
-            end += 1
-        if end - at > 2:
-            out += spelling.restore(" ".join(words[at:end]))
-            at = end
-            continue
-        out.append(forms(words[at], spelling)[-1] if forms(words[at], spelling) else words[at])
-        at += 1
-    return " ".join(out)
+    alone = lambda ws: [(forms(w, spelling) or [w])[-1] for w in ws]
+    for start, end, run in runs(words):
+        out += alone(words[at:start]) + (spelling.restore(" ".join(run)) if joined(run, spelling) else alone(words[start:end]))
+        at = end
+    return " ".join(out + alone(words[at:]))
 
 
 def features(word: str) -> list[int]:
@@ -167,27 +177,63 @@ class Scorer:
 
 
 class Reader:
-    """The marks of texts; those of distinct words are kept up to a bound."""
+    """The marks of texts; those of distinct words and runs are kept up to a bound."""
 
     def __init__(self, scorer: Scorer, spelling: Spelling):
-        self.scorer, self.spelling, self.known = scorer, spelling, {}
+        self.scorer, self.spelling, self.known, self.odd = scorer, spelling, {}, {}
 
     def marks(self, text: str | None) -> set[tuple[int, ...]]:
         """The marks of each distinct word that has any."""
         words = (text or "").split()
-        if len(self.known) > CACHED:
+        if len(self.known) > CACHED or len(self.odd) > CACHED:
             self.known.clear()
-        distinct = set(words)
-        distinct.update(spaced(words))
-        for w in distinct:
+            self.odd.clear()
+        out = set()
+        for w in set(words):
             if w not in self.known:
-                self.known[w] = self.scorer.marks(self.spelling.restore(w) if len(w) > 1 and w[1] == " " else forms(w, self.spelling))
-        return {m for w in distinct if (m := self.known[w])}
-
+                self.known[w] = (self.scorer.marks(forms(w, self.spelling)),)
+            out.update(self.known[w])
+        for _, _, run in runs(words):
+            if self.may_mark(run):
+                key = " ".join(run)
+                if key not in self.known:
+                    self.known[key] = tuple(self.scorer.marks([w]) for w in joined(run, self.spelling))
+                out.update(self.known[key])
+        out.discard(())
+        return out
 
-def described(words: list[str], spelling: Spelling) -> np.ndarray:
-    """The features of the distinct words of a text, with a 0 after each word's."""
-    own = {tuple(forms(w, spelling)) for w in set(words)} | {tuple(spelling.restore(w)) for w in spaced(words)}
+    def may_mark(self, run: list[str]) -> bool:
+        """False only where no spelling of a run can have marks that its words don't have: in runs of plain letters a
+        spelling joins neighbours, and no neighbours joined have a feature with a weight."""
+        if len(run) > RUN:
+            return True
+        for w in run:
+            if w not in self.odd:
+                self.odd[w] = not w.isalpha() or odd(w) or any(c not in _SYMBOL for c in w)
+            if self.odd[w]:
+                return True
+        weights = self.scorer.weights
+        for k in range(len(run) - 1):
+            whole = run[k]
+            for w in run[k + 1 :]:
+                before, whole = len(whole), whole + w
+                if xxhash.xxh3_64_intdigest("=" + whole) in weights:
+                    return True
+                if before < 8 and any(xxhash.xxh3_64_intdigest(whole[:n]) in weights for n in range(max(3, before + 1), min(len(whole), 8) + 1)):
+                    return True
+        return False
+
+
+def described(words: list[str], spelling: Spelling, known: dict[str, tuple[str, ...]]) -> np.ndarray:
+    """The features of the distinct words of a text, with a 0 after each word's; ``known`` keeps the words' forms."""
+    if len(known) > CACHED:
+        known.clear()
+    own = set()
+    for w in set(words):
+        if w not in known:
+            known[w] = tuple(forms(w, spelling))
+        own.add(known[w])
+    own.update((w,) for _, _, run in runs(words) for w in joined(run, spelling))
     return np.fromiter((f for word in own for form in [*word, None] for f in ([0] if form is None else features(form))), np.uint64)
 
 
@@ -223,12 +269,13 @@ def train(docs: DataFrame, labels: DataFrame, spelling: Spelling) -> Scorer:
     shared = docs.sparkSession.sparkContext.broadcast(spelling)  # SIZE ** 3 costs
 
     def rows(found):
+        known: dict[str, tuple[str, ...]] = {}
         for batch in found:
             bad, texts = next(batches([batch], 2))
             out = []
             for text in texts:
                 words = (text or "").split()
-                out.append(described(words, shared.value).tobytes())
+                out.append(described(words, shared.value, known).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(bad, pa.bool_()), pa.array(out, pa.binary())], names=["bad", "features"])
 
     # The sample's size is bounded by its two parameters, so it can be sent to every task.

@@ -77,3 +77,26 @@ def test_empty_tables(spark):
     labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
     assert toxicity.toxicity_report(docs.limit(0), labels).collect() == []
     assert toxicity.toxicity_report(docs, labels.limit(0)).count() == 1
+
+
+@pytest.mark.parametrize("written", ["trasH!", "tra5h", "iidiot", "mooron", "id iot", "mor on,", "i d i o t!", "tr as h.", "the id iot tree"])
+def test_disguises_are_decoded(spelling, written):
+    words = written.split()
+    found = {f for w in words for f in toxicity.forms(w, spelling)} | {w for _, _, run in toxicity.runs(words) for w in toxicity.joined(run, spelling)}
+    assert found & set(BAD)
+
+
+@pytest.mark.parametrize("written", ["idio7", "shi+", "mooron", "garden!"])
+def test_words_with_signs_anywhere_are_looked_at(written):
+    assert toxicity.odd(written)
+
+
+def test_runs_are_left_out_only_without_marks(spelling):
+    scorer = toxicity.Scorer({f: 5.0 for w in BAD for f in toxicity.features(w)})
+    every = toxicity.Reader(scorer, spelling)
+    every.may_mark = lambda run: True
+    rng = random.Random(4)
+    pieces = "id iot mor on tra sh the and tree thin i d o t 1d 10t m00 tr@ sh! it's".split()
+    for _ in range(300):
+        text = " ".join(rng.choice(pieces) for _ in range(rng.randrange(1, 9)))
+        assert toxicity.Reader(scorer, spelling).marks(text) == every.marks(text), text
