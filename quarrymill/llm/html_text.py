@@ -12,7 +12,11 @@ from quarrymill.llm.common import batches
 
 #: HTML's element classes (fixed values of the standard).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style noscript template iframe object audio video canvas svg math datalist noembed noframes title base link meta param rp".split())
+HIDDEN = frozenset("head script style noscript template iframe object audio video canvas datalist noembed noframes title base link meta param rp".split())
+#: What isn't rendered in drawings and formulas; their texts and cells stand apart.
+FOREIGN = frozenset("svg math".split())
+FOREIGN_HIDDEN = frozenset("annotation annotation-xml defs metadata desc symbol clippath mask marker pattern lineargradient radialgradient filter mphantom".split())
+APART = frozenset("td th text mtd".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol menu dir dl table pre blockquote figure fieldset hr".split())
 BLOCK = SPACED | frozenset("html body address article aside center details dialog dd div dt figcaption footer form header hgroup legend li main nav optgroup option search section summary caption thead tbody tfoot tr".split())
 CLOSE_P = SPACED | frozenset("address article aside center details dialog div figcaption footer form header hgroup main nav search section".split())
@@ -61,6 +65,8 @@ class TreeBuilder(HTMLParser):
         if tag in ("td", "th") and self.open[-1].tag in ("table", "thead", "tbody", "tfoot"):
             self._push("tr", {})
         node = Node(tag, dict(attrs))
+        if self._foreign() and (tag in FOREIGN_HIDDEN or node.attrs.get("display") == "none"):
+            node.attrs["hidden"] = None
         if tag not in VOID and len(self.open) > DEPTH:
             self.open.pop()
         self.open[-1].children.append(node)
@@ -69,7 +75,7 @@ class TreeBuilder(HTMLParser):
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag in ("script", "style", "textarea", "title"):
+        if tag not in VOID and (tag in ("script", "style", "textarea", "title") or self._foreign()):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
@@ -89,6 +95,9 @@ class TreeBuilder(HTMLParser):
         if data.startswith("CDATA["):
             self.handle_data(data[6:])
 
+    def _foreign(self):
+        return any(n.tag in FOREIGN for n in self.open)
+
     def _push(self, tag, attrs):
         node = Node(tag, attrs)
         self.open[-1].children.append(node)
@@ -214,9 +223,11 @@ def render(node: Node, out: Layout, pre: bool = False, seen: bool = True, depth:
             render(child, out, pre, shown, depth)
             out.block(tag in SPACED)
         else:
-            if tag in ("td", "th"):
+            if tag in APART:
                 out.text(" ", False)
             render(child, out, pre, shown, depth)
+            if tag in APART - {"td", "th"}:
+                out.text(" ", False)
 
 
 def item(node: Node, out: Layout, mark: str, seen: bool, depth: int) -> None:

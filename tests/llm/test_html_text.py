@@ -56,3 +56,10 @@ def test_odd_pages(spark):
     assert len(got) == len(rows) and dict(got)["3"] == "deep" and dict(got)["4"].split() == ["word"] * 200_000
     assert "in" in dict(got)["5"] and dict(got)["None"] == "x" and dict(got)["7"].endswith("z")
     assert extract_pages(pages.limit(0)).collect() == []
+
+
+def test_formulas_and_drawings():
+    page = "so <math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></semantics></math> holds <annotation>here</annotation>"
+    assert visible_text(page) == "so x=2 holds here"
+    page = "<svg><title>t</title><desc>d</desc><defs/><defs><text>no</text></defs><rect/><g><text>one</text><text>two <tspan>three</tspan></text></g></svg>end"
+    assert visible_text(page) == "one two three end"
