@@ -95,7 +95,8 @@ def fits(kind: str, value: str) -> bool:
 
 
 def mentions(text: str | None, base: list[tuple[str, int, int]]) -> list[tuple[int, int, str, str | None, list[str], list[str]]]:
-    """(start, end, value, kind if the expressions found it, patterns, kinds whose form it has)."""
+    """(start, end, value, kind if the expressions found it, patterns, kinds whose form it has). What the expressions
+    found is cut out of the mentions; the pieces beside it are mentions of their own."""
     text, out, at = text or "", [], 0
     if not ("@" in text or _DIGIT.search(text)):
         return out
@@ -106,13 +107,15 @@ def mentions(text: str | None, base: list[tuple[str, int, int]]) -> list[tuple[i
         inside = [b for b in found[at:] if b[0] < end and b[1] > start]
         while at < len(found) and found[at][1] <= end:
             at += 1
-        if not inside:
-            while end > start and not text[end - 1].isalnum():
-                end -= 1
-            while start < end and not (text[start].isalnum() or text[start] in "+("):
-                start += 1
-            if end > start:
-                free.append((start, end, None))
+        cut = start
+        for s, e in [*((b[0], b[1]) for b in inside), (end, end)]:
+            left, right, cut = cut, min(s, end), max(cut, e)
+            while right > left and not text[right - 1].isalnum():
+                right -= 1
+            while left < right and not (text[left].isalnum() or text[left] in "+("):
+                left += 1
+            if right > left:
+                free.append((left, right, None))
     for start, end, kind in [*found, *free]:
         value = text[start:end].lower()
         forms = [kind] if kind else [k for k in KINDS if fits(k, value)]

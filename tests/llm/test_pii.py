@@ -65,3 +65,18 @@ def test_bootstrap_adds_identifiers_in_known_contexts(spark):
 
 def test_empty_table(spark):
     assert pii.personal_data_report(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_identifiers_beside_found_ones():
+    text = "reach john@x.com 555-123-4567 or 555-123-4568 a@y.org 555-123-4569"
+    got = [(text[s:e], kind, forms) for s, e, _, kind, _, forms in pii.mentions(text, pii.base_spans(text))]
+    assert [v for v, kind, _ in got if kind] == ["john@x.com", "a@y.org"]
+    assert [(v, forms) for v, kind, forms in got if not kind] == [(f"555-123-456{k}", ["phone"]) for k in (7, 8, 9)]
+
+
+def test_bootstrap_finds_identifiers_beside_found_ones(spark):
+    data = [(k, f"reach me{k}@x.com +1 (0{k:02d}) 555-7{k:03d} today") for k in range(40)]
+    data += [(100 + k, f"reach me{k}@x.com 0{k} 555 7{k:03d} today") for k in range(3)]
+    got = {r.doc_id: r.spans for r in pii.personal_data_report(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    for k, text in data[40:]:
+        assert got[k].endswith(f",phone:{text.index(' 0') + 1}:{text.index(' today')}")
