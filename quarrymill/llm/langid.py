@@ -294,8 +294,20 @@ def language_report(docs: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, least: float = 0.4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without texts in no language and those whose language has a mean probability under ``least``."""
-    field = train(docs, id_col, text_col)
-    bad = predict_languages(docs, field, id_col, text_col).where((F.col("lang_pred") == "und") | (F.col("score") < least))
-    gone = bad.select(F.col(id_col).alias("gone_id")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["gone_id"]), "left_anti")
+    """``docs`` without texts in no language and those whose words' likeliest languages have a mean probability under
+    ``least``, whichever languages these are. Each row is decided on by itself; ids, null or repeated ones too, are not
+    compared."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, id_col, text_col))
+    at = docs.columns.index(text_col)
+
+    def rows(found):
+        labeller = _Labeller(shared.value)
+        for batch in found:
+            words = [words_of(t) for t in batch.column(at).to_pylist()]
+            words = [w if any(map(str.isalpha, "".join(w))) else [] for w in words] if shared.value.langs else [[] for _ in words]
+            keep = [False] * len(words)
+            for k, p in labeller.probabilities(words, True):
+                keep[k] = float(p.max(axis=1).mean()) >= least
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(rows, docs.schema)

@@ -75,3 +75,16 @@ def test_held_out_rows_and_odd_texts(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
     assert langid.accepted(docs).count() == len(rows) - 3
     assert langid.language_report(docs.limit(0)).collect() == []
+
+
+def test_accepted_keeps_switched_texts_and_rows_without_ids(spark):
+    rng = random.Random(7)
+    own = {"en": "the house garden river window apple", "fr": "être façon élève rivière fenêtre maçon", "de": "straße häuser über größe müßig bücher"}
+    say = lambda lang, n: " ".join(rng.choice(own[lang].split()) for _ in range(n))
+    rows = [(k, say(lang, 40), lang) for k, lang in enumerate(list(own) * 60)]
+    mixed = " ".join(say(lang, 12) for lang in own)
+    rows += [(None, mixed, None), (None, "12 34", None), (None, say("en", 30), None), (900, "", "en"), (900, say("de", 30), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.accepted(docs)
+    assert got.schema == docs.schema
+    assert sorted(map(str, got.collect())) == sorted(str(r) for r in docs.collect() if r.text not in ("12 34", ""))
