@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrymill.functions.urls import bare, crawlable, person_link, segments
-from quarrymill.session import ensure_checkpoint_dir
+from quarrymill.session import shared_dir
 
 # Places of content and of links (fixed values).
 MAIN = ("main", "article", ".content", ".main-content", "#content", "#main", ".post-content", ".entry-content", ".container", ".wrapper", "body")
@@ -204,7 +204,7 @@ def frontier(start: DataFrame, fetch, hosts: list[str], depth: int, most: int) -
     links, without those known, once each. It ends after ``depth`` rounds, at ``most`` pages, or with an empty round.
     Returns (url, round) of the pages that were read.
     """
-    ensure_checkpoint_dir(start.sparkSession)
+    shared_dir(start.sparkSession)
     known, now, out = start.select("url").distinct(), start.select("url").distinct(), None
     for k in range(depth + 1):
         left = most - (out.count() if out is not None else 0)

@@ -1,4 +1,4 @@
-"""SparkSession defaults for the engine."""
+"""SparkSession defaults for the engine, the folder that its steps share, and its modules on the executors."""
 
 from __future__ import annotations
 
@@ -28,14 +28,20 @@ def get_session(master: str | None = None, app: str = "quarrymill", **conf: str)
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share, from spark.checkpoint.dir; a temporary one where it is unset,
-    as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see, from spark.checkpoint.dir.
+
+    Where it is unset and all runs in one JVM, as in tests, it is a temporary one. On a cluster that is an error: a
+    machine's own folder would be read back incomplete.
+    """
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
+        if context.master != "local" and not context.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="quarrymill-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
+        context.setCheckpointDir(found)
+    return found.rstrip("/")
 
 
 def ship_package(spark: SparkSession) -> None:
