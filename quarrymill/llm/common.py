@@ -2,44 +2,59 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrymill.session import shared_dir
+
 #: Words are split at these bytes alone: space and \t \n \v \f \r, which is where bytes.split() splits.
 WORD_SPACE = r"[\x20\x09-\x0D]+"
+#: Bits of a filter of keys: 2 MB, whatever the input. Where many keys fill it, it lets more rows through.
+FILTER_BITS = 1 << 24
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, or a temporary one if that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="quarrymill-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
 def stage(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again: later steps don't repeat it, and it outlives executors.
 
-    ``by`` names a column whose values get folders of their own. The files go when the application ends.
+    ``by`` names a column whose values get folders of their own. The shuffle files of the write go when it is done; the
+    table goes with ``unstage``, or when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    system, place = _place(spark, path)
+    system.deleteOnExit(place)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def unstage(*tables: DataFrame | None) -> None:
+    """Deletes staged tables that nothing reads any more; others, and None, are left alone."""
+    for found in tables:
+        if path := getattr(found, "_staged_at", None):
+            system, place = _place(found.sparkSession, path)
+            system.delete(place, True)
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -47,6 +62,26 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def filter_place(key: Column) -> Column:
+    """The place of a key in a filter."""
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+
+
+def key_filter(keys: DataFrame, key: str) -> np.ndarray:
+    """A bitmap with the places of all keys, made by Spark; no more than FILTER_BITS bits come to the driver."""
+    at = filter_place(F.col(key))
+    found = keys.select(at.alias("at")).groupBy((F.col("at") / 32768).cast("long").alias("block")).agg(F.bitmap_construct_agg(F.col("at") % 32768).alias("bits"))
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for block, bits in found.collect():
+        out[block * 4096 : block * 4096 + len(bits)] = np.frombuffer(bytes(bits), np.uint8)
+    return out
+
+
+def in_filter(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Whether keys with those places may be among the filter's; false only where they aren't."""
+    return (bitmap[places >> 3] >> (places & 7).astype(np.uint8)) & 1 > 0
+
+
 def words_of(text: str | None, lower: bool = False) -> list[bytes]:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text in UTF-8; ``lower`` lower-cases A-Z alone."""
     raw = (text or "").encode("utf-8", "surrogatepass")
