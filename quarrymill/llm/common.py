@@ -6,6 +6,8 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,6 +114,20 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mixed(out)
 
 
+def sliced(rows: Iterator, column: int, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices whose texts have ``most`` bytes, or one row: what is made of a slice stays small."""
+    for batch in rows:
+        if not batch.num_rows:
+            yield batch
+            continue
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(sizes, most + (sizes[at - 1] if at else 0), side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def batches(rows: Iterator, columns: int) -> Iterator[tuple]:
     """The columns of each Arrow batch as Python lists."""
     for batch in rows:
