@@ -3,6 +3,10 @@
 Texts are cut by the tokenizer's pattern; each distinct piece is encoded once per sub-batch and kept in a bounded
 cache. Pieces of like length are the rows of one matrix of token ids. In each round every row merges its leftmost
 pair of minimum rank, found by a hashed lookup of pairs; rows without a pair left are taken out.
+
+A sequence of tokens is the encoding of its bytes exactly if each two neighbours are the encoding of theirs. So a piece of
+any length is cut into rows of ROW bytes, and what stands around a cut is encoded again, further out each time, until all
+neighbours fit.
 """
 
 from __future__ import annotations
@@ -21,8 +25,8 @@ from pyspark.sql import DataFrame
 from quarrymill.llm.common import batches
 
 NONE = np.int32(2**31 - 1)
-#: Rows longer than this are merged one by one, all places of the minimum rank in a round where that is the same.
-WIDE = 256
+#: Bytes of a row that a long piece is cut into.
+ROW = 256
 #: Cells of a matrix, characters of a sub-batch, and pieces that a worker keeps.
 CELLS, CHARS, CACHED = 1 << 20, 1 << 21, 300_000
 
@@ -93,16 +97,53 @@ class ByteBpe:
 
     def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
         """For each piece its ids, packed as little-endian unsigned 32-bit integers."""
+        cut = [[p[k : k + ROW] for k in range(0, len(p), ROW)] for p in pieces]
+        rows = iter(self._encode_rows([r for c in cut for r in c]))
+        out: list[bytes] = []
+        for c in cut:
+            parts = [next(rows) for _ in c]
+            out.append(parts[0] if len(parts) == 1 else self._joined(parts))
+        return out
+
+    def _joined(self, parts: list[bytes]) -> bytes:
+        """The encoding of a piece from those of its rows. ``doubt``: places whose neighbours may not fit, and how many
+        tokens on either side are encoded again if they don't."""
+        ids = np.concatenate([np.frombuffer(p, "<u4") for p in parts])
+        cuts = np.cumsum([len(p) // 4 for p in parts])[:-1]
+        doubt = {int(c): 1 for c in cuts}
+        while doubt:
+            places = sorted(doubt)
+            pairs = [self.decode(ids[k - 1 : k + 1].tobytes()) for k in places]
+            wrong = [k for k, got in zip(places, self._encode_rows(pairs)) if got != ids[k - 1 : k + 1].tobytes()]
+            spans: list[list[int]] = []  # [start, end, reach] of tokens to encode again, those that meet as one
+            for k in wrong:
+                start, end, reach = max(0, k - 2 * doubt[k]), min(len(ids), k + 2 * doubt[k]), 2 * doubt[k]
+                if spans and start <= spans[-1][1]:
+                    spans[-1] = [spans[-1][0], max(end, spans[-1][1]), max(reach, spans[-1][2])]
+                else:
+                    spans.append([start, end, reach])
+            doubt, kept, at = {}, [], 0
+            fresh = self._encode_rows([self.decode(ids[s:e].tobytes()) for s, e, _ in spans])
+            size = 0
+            for (start, end, reach), new in zip(spans, fresh):
+                kept += [ids[at:start], np.frombuffer(new, "<u4")]
+                size += start - at
+                doubt[size] = doubt[size + len(new) // 4] = reach
+                size += len(new) // 4
+                at = end
+            kept.append(ids[at:])
+            ids = np.concatenate(kept)
+            doubt = {k: r for k, r in doubt.items() if 0 < k < len(ids)}
+        return ids.tobytes()
+
+    def _encode_rows(self, pieces: list[bytes]) -> list[bytes]:
+        """The encodings of pieces on matrices of rows of like length."""
         lengths = np.array([len(p) for p in pieces], np.int64)
         out: list[bytes] = [b""] * len(pieces)
         order = np.argsort(lengths, kind="stable")
         at = int(np.searchsorted(lengths[order], 1))
         while at < len(order):
             width = int(1 << int(lengths[order[at]] - 1).bit_length())  # bucket: up to the next power of two
-            if width > WIDE:
-                out[order[at]] = self._merge_long(np.frombuffer(pieces[order[at]], np.uint8)).astype("<u4").tobytes()
-                at += 1
-                continue
             end = min(int(np.searchsorted(lengths[order], width, side="right")), at + max(1, CELLS // width))
             rows = order[at:end]
             flat = np.frombuffer(b"".join(pieces[r].ljust(width, b"\0") for r in rows), np.uint8)
@@ -149,29 +190,6 @@ class ByteBpe:
             ranks[rows[left], best[left] - 1] = self.pairs.find(ids[rows[left], best[left] - 1], rank[left])
         return done
 
-    def _merge_long(self, raw: np.ndarray) -> np.ndarray:
-        """Merges one long row. A round takes all places of the minimum rank, left to right, where no pair that this
-        makes on the way has a lower rank; else the leftmost alone."""
-        ids = self.of_byte[raw]
-        ranks = self.pairs.find(ids[:-1], ids[1:])
-        while len(ranks) and (rank := ranks.min()) != NONE:
-            places = np.flatnonzero(ranks == rank)
-            run = np.cumsum(np.diff(places, prepend=places[0] - 2) != 1)
-            first = np.searchsorted(run, run)
-            places = places[(np.arange(len(places)) - first) % 2 == 0]
-            new = np.full(len(places), rank, np.int32)
-            beside = np.concatenate(([False], np.diff(places) == 2))
-            left = np.where(beside, rank, np.where(places > 0, ids[places - 1], -1))
-            right = np.where(places + 2 < len(ids), ids[np.minimum(places + 2, len(ids) - 1)], -1)
-            if min(self.pairs.find(left, new).min(), self.pairs.find(new, right).min()) < rank:
-                places = places[:1]
-            ids[places] = rank
-            ids, ranks = np.delete(ids, places + 1), np.delete(ranks, places)
-            at = places - np.arange(len(places))
-            for pair in (at[at > 0] - 1, at[at < len(ids) - 1]):
-                ranks[pair] = self.pairs.find(ids[pair], ids[pair + 1])
-        return ids
-
     def encode(self, texts: Iterable[str], cache: dict[str, bytes]) -> Iterator[bytes]:
         """The packed ids of each text; ``cache`` has the packed ids of pieces and is emptied beyond CACHED."""
         find = regex.compile(self.pattern).findall
@@ -211,7 +229,8 @@ def encode_documents(
     """(id, ids array<int>, decoded binary) for each row; null text counts as empty, and an empty text has no ids.
 
     ``path`` names a rank file and ``pattern`` its splitting pattern; by default byte_bpe_50k. Repeated rows and
-    null ids give a row each. Other columns of ``docs`` are not read.
+    null ids give a row each. Other columns of ``docs`` are not read. Texts and pieces of any length are encoded whole.
+    An empty table gives an empty result.
     """
     return _run(docs, path, pattern, id_col, text_col, "ids array<int>, decoded binary", _full)
 
