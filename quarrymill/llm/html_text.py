@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import re
+import sys
+from bisect import bisect_left
+from collections import defaultdict
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +33,6 @@ ENDS = {
 }
 #: An end tag doesn't reach past these.
 SCOPE = frozenset("table td th caption template".split())
-DEPTH = 150
 WIDEST = 60
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _GONE = re.compile(r"display\s*:\s*none", re.I)
@@ -44,15 +47,16 @@ class Node:
 
 
 class TreeBuilder(HTMLParser):
-    """Builds the tree as tags come. Elements beyond DEPTH are put beside each other, so that nothing is lost."""
+    """Builds the tree as tags come. ``places`` has, by tag, where elements of it are among the open ones."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("", {})
         self.open = [self.root]
+        self.places: dict[str, list[int]] = defaultdict(list)
 
     def handle_starttag(self, tag, attrs):
-        if tag in ("html", "body") and any(n.tag == tag for n in self.open):
+        if tag in ("html", "body") and self.places[tag]:
             return
         if tag in CLOSE_P:
             self._end({"p"}, SCOPE | {"button"})
@@ -67,11 +71,7 @@ class TreeBuilder(HTMLParser):
         node = Node(tag, dict(attrs))
         if self._foreign() and (tag in FOREIGN_HIDDEN or node.attrs.get("display") == "none"):
             node.attrs["hidden"] = None
-        if tag not in VOID and len(self.open) > DEPTH:
-            self.open.pop()
-        self.open[-1].children.append(node)
-        if tag not in VOID:
-            self.open.append(node)
+        self._add(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -81,7 +81,7 @@ class TreeBuilder(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "br":
             self.handle_starttag("br", [])
-        elif tag == "p" and not any(n.tag == "p" for n in self.open):
+        elif tag == "p" and not self.places["p"]:
             self.open[-1].children.append(Node("p", {}))
         elif tag not in VOID:
             self._end({tag}, SCOPE - {tag})
@@ -96,21 +96,27 @@ class TreeBuilder(HTMLParser):
             self.handle_data(data[6:])
 
     def _foreign(self):
-        return any(n.tag in FOREIGN for n in self.open)
+        return any(self.places[t] for t in FOREIGN)
 
     def _push(self, tag, attrs):
-        node = Node(tag, attrs)
+        self._add(Node(tag, attrs))
+
+    def _add(self, node):
         self.open[-1].children.append(node)
-        self.open.append(node)
+        if node.tag not in VOID:
+            self.places[node.tag].append(len(self.open))
+            self.open.append(node)
+
+    def _last(self, tags):
+        return max((self.places[t][-1] for t in tags if self.places[t]), default=0)
 
     def _end(self, tags, boundary):
         """Closes down to the nearest open element of ``tags``, unless a boundary comes first."""
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag in tags:
-                del self.open[k:]
-                return
-            if self.open[k].tag in boundary:
-                return
+        k = self._last(tags)
+        if k and k >= self._last(boundary):
+            for node in self.open[k:]:
+                self.places[node.tag].pop()
+            del self.open[k:]
 
 
 class Layout:
@@ -276,10 +282,11 @@ def table_lines(table: Node, seen: bool, depth: int) -> list[str]:
                 other.children.append(part)
                 render(other, head, False, seen, depth)
     grid: list[list[tuple[int, int, list[str]]]] = []
-    taken: dict[int, int] = {}
+    taken: list[tuple[int, int, int]] = []  # (start, end, row) of columns that a cell keeps up to a row, by start
     widths: dict[int, int] = {}
-    for row in rows:
-        cells, at = [], 0
+    for n, row in enumerate(rows):
+        cells, at, held, new = [], 0, iter([*taken, (1 << 62, 1 << 62, 0)]), []
+        next_held = next(held)
         loose = Node("td", {})
         for cell in [*row.children, loose]:
             if isinstance(cell, str) or cell.tag not in ("td", "th"):
@@ -288,8 +295,9 @@ def table_lines(table: Node, seen: bool, depth: int) -> list[str]:
                 continue
             if not displayed(cell) or cell is loose and not loose.children:
                 continue
-            while taken.get(at, 0) > 0:
-                at += 1
+            while next_held[0] <= at:
+                at = max(at, next_held[1])
+                next_held = next(held)
             span = max(1, min(1000, number(cell.attrs.get("colspan"), 1)))
             down = max(1, min(65534, number(cell.attrs.get("rowspan"), 1)))
             inner = Layout()
@@ -298,33 +306,37 @@ def table_lines(table: Node, seen: bool, depth: int) -> list[str]:
             cells.append((at, span, lines))
             if span == 1:
                 widths[at] = max(widths.get(at, 0), min(WIDEST, max(map(len, lines), default=0)))
-            for k in range(at, at + span):
-                taken[k] = max(taken.get(k, 0), down)
+            if down > 1:
+                new.append((at, at + span, n + down))
             at += span
-        taken = {k: v - 1 for k, v in taken.items() if v > 1}
+        taken = sorted(t for t in [*taken, *new] if t[2] > n + 1)
         grid.append(cells)
-    starts, place = {}, 0
-    for k in range(1 + max((c[0] for cells in grid for c in cells), default=0)):
-        starts[k] = place
-        place += widths[k] + 2 if widths.get(k) else 0
+    columns = sorted(c for c, width in widths.items() if width)
+    ends = list(accumulate((widths[c] + 2 for c in columns), initial=0))
     out = head.done()
     for cells in grid:
+        starts = [ends[bisect_left(columns, at)] for at, _, _ in cells]
         for k in range(max((len(lines) for _, _, lines in cells), default=0)):
             line = ""
-            for at, _, lines in cells:
+            for (_, _, lines), start in zip(cells, starts):
                 if k < len(lines) and lines[k]:
-                    line = (line.ljust(starts[at]) if len(line) + 2 <= starts[at] or not line else line + "  ") + lines[k]
+                    line = (line.ljust(start) if len(line) + 2 <= start or not line else line + "  ") + lines[k]
             out.append(line)
     return out + tail.done()
 
 
 def visible_text(html: str | None) -> str:
-    """All visible text of a page. Null and empty pages give an empty text; text without tags is a page too."""
+    """All visible text of a page. Null and empty pages give an empty text; text without tags is a page too. Elements
+    may be nested as deeply as the page is long: layout recurses, and calls of Python functions only take memory."""
     builder = TreeBuilder()
     builder.feed((html or "").replace("\0", ""))
     builder.close()
-    out = Layout()
-    render(builder.root, out)
+    out, limit = Layout(), sys.getrecursionlimit()
+    sys.setrecursionlimit(max(limit, 6 * len(html or "") + 10_000))
+    try:
+        render(builder.root, out)
+    finally:
+        sys.setrecursionlimit(limit)
     return "\n".join(out.done()).replace("\xa0", " ")
 
 
