@@ -34,7 +34,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     A null text equals an empty one. A null id is never smaller than another; in a group of null ids alone,
     keep_id is null and all rows are kept. Rows that repeat an id and its text get the same verdict each. Other
-    columns of ``docs``, whatever their names, are not read. An empty table gives an empty result.
+    columns of ``docs``, whatever their names, are not read. An empty table gives an empty result. Texts of any length
+    are compared whole.
 
     Only hashes travel to the groups, never texts; a hot group is split by the adaptive skew join, as the other side
     has one row of it.
@@ -54,12 +55,24 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that an earlier copy stands for; all columns stay.
+    """One row of each distinct text, with all of its columns: the one with the smallest id, of several the one with the
+    smaller text as written, then any.
 
-    Rows with a null id stay only if their text has no other id.
+    Equal texts are equal when normalised, as above, and a null text equals an empty one. A row with a null id stays
+    only if its text has no other id, and then one of them. A repeated id with another text is another document.
+    An empty table gives an empty result. Whole rows are reduced in each map task before they move once; nothing is
+    joined, so a group of any size sends one row from each task.
     """
-    kept = exact_duplicates(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("kept_id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["kept_id"]), "left_semi")
+    names = [f"c{k}" for k in range(len(docs.columns))]  # no name of the table's can clash
+    row = F.struct(*(docs[c].alias(n) for c, n in zip(docs.columns, names)))
+    norm = normalised(docs[text_col])
+    id_, text = (F.col(f"row.{names[docs.columns.index(c)]}") for c in (id_col, text_col))
+    first = (
+        docs.select(F.unhex(F.md5(norm)).alias("content_hash"), norm.alias("norm"), row.alias("row"))
+        .groupBy("content_hash", "norm")
+        .agg(F.min_by("row", F.struct(id_.isNull().alias("last"), id_.alias("id"), text.alias("text"))).alias("row"))
+    )
+    return first.select(*(F.col(f"row.{n}").alias(c) for c, n in zip(docs.columns, names)))
 
 
 ORACLE_SQL = r"""

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from quarrymill.llm.common import batches, held_out
 
-#: The bounds of training: labelled rows for each language (about), and words of each row.
-ROWS, ROW_WORDS = 600, 150
+#: The bound of training: about so many labelled rows for each language, whole texts.
+ROWS = 250
 #: Feature weights for each language.
 BUCKETS = 1 << 17
 LENGTH, BATCH, EPOCHS, RATE, DECAY = 48, 256, 6, 0.25, 1e-5
@@ -180,8 +180,8 @@ def _gradient(field: Crf, scores: np.ndarray, label: np.ndarray, full: np.ndarra
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Crf:
     """A field from about ROWS labelled rows of each language that aren't held out, chosen by a hash of the id.
 
-    Of each row a stretch of ROW_WORDS words at most is used; so what comes to the driver is bounded. Rows with a null
-    language, id or text are not learned from.
+    Their whole texts are used; what comes to the driver is bounded by the number of rows. Rows with a null language, id
+    or text are not learned from.
     """
     known = docs.where(docs[id_col].isNotNull() & docs[lang_col].isNotNull() & docs[text_col].isNotNull() & ~held_out(id_col))
     counts = known.groupBy(docs[lang_col].alias("lang")).count().collect()
@@ -193,9 +193,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         for batch in found:
             out = []
             for key, lang, text in zip(*next(batches([batch], 3))):
-                words = words_of(text)
-                at = crc32(key.encode()) % max(1, len(words) - ROW_WORDS + 1)
-                out.append((lang, key, words[at : at + ROW_WORDS]))
+                out.append((lang, key, words_of(text)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.string(), pa.string(), pa.list_(pa.string())))], names=["lang", "key", "words"]
             )

@@ -9,6 +9,7 @@ patterns of high confidence whose form fits the kind are new identifiers.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,7 +26,7 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_MENTION = re.compile(r"[^\s0-9@]*[0-9@]\S*(?: [^\s0-9@]*[0-9@]\S*)*")
+_MARK, _SPACE = re.compile(r"[0-9@]"), re.compile(r"\s")
 _WORD = re.compile(r"[^\W\d_]+")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 
@@ -94,6 +95,27 @@ def fits(kind: str, value: str) -> bool:
     return "@" not in value and (12 <= digits <= 19 if kind == "card" else 7 <= digits <= 15) and 3 * digits >= 2 * len(value.replace(" ", ""))
 
 
+def marked_stretches(text: str) -> Iterator[tuple[int, int]]:
+    """Where tokens with a digit or an at sign stand, those with single spaces between them as one. Each character is
+    looked at twice at most."""
+    start = end = -1
+    mark = _MARK.search(text)
+    while mark:
+        left = mark.start()
+        while left > max(end, 0) and not text[left - 1].isspace():
+            left -= 1
+        space = _SPACE.search(text, mark.end())
+        right = space.start() if space else len(text)
+        if end < 0 or left != end + 1 or text[end] != " ":
+            if end >= 0:
+                yield start, end
+            start = left
+        end = right
+        mark = _MARK.search(text, end)
+    if end >= 0:
+        yield start, end
+
+
 def mentions(text: str | None, base: list[tuple[str, int, int]]) -> list[tuple[int, int, str, str | None, list[str], list[str]]]:
     """(start, end, value, kind if the expressions found it, patterns, kinds whose form it has). What the expressions
     found is cut out of the mentions; the pieces beside it are mentions of their own."""
@@ -102,11 +124,14 @@ def mentions(text: str | None, base: list[tuple[str, int, int]]) -> list[tuple[i
         return out
     found = [(s, e, k) for k, s, e in base]
     free = []
-    for m in _MENTION.finditer(text):
-        start, end = m.span()
-        inside = [b for b in found[at:] if b[0] < end and b[1] > start]
-        while at < len(found) and found[at][1] <= end:
+    for start, end in marked_stretches(text):
+        while at < len(found) and found[at][1] <= start:
             at += 1
+        inside, k = [], at
+        while k < len(found) and found[k][0] < end:
+            if found[k][1] > start:
+                inside.append(found[k])
+            k += 1
         cut = start
         for s, e in [*((b[0], b[1]) for b in inside), (end, end)]:
             left, right, cut = cut, min(s, end), max(cut, e)
