@@ -7,7 +7,6 @@ columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quarrymill.llm import bpe, decontam, exact_dedup, langid, ngram_join
 from quarrymill.llm.common import stage, table
@@ -28,9 +27,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: of documents that links of 0.8 or more of five-word shingles connect, the smallest doc_id
     stays. Documents without words link with nothing and stay."""
-    found = ngram_join.near_copies(docs, n=5, tenths=8)
-    gone = found.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    return ngram_join.drop_near_copies(docs, n=5, tenths=8)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
