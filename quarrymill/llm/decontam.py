@@ -6,23 +6,31 @@ an item lies whole in some block, where containment t of an item of q shingles m
 t * q / (block + (1 - t) * q), 0.18 or more at t = 0.8. A block whose MinHash agrees with an item's in one of the
 permutations is a candidate: at 0.18, 48 permutations miss one in 14,000, and a full copy (0.22 and more) one in 150,000.
 Candidates are verified by the exact containment of the item's shingles in the whole document.
+
+A MinHash agrees only in a shingle that both have. So blocks without any shingle of an item, and classes whose items
+need more such shingles than a document has, are passed over; this loses nothing.
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from quarrymill.llm.common import batches, ngram_hashes, word_hashes
+from quarrymill.llm.common import ngram_hashes, stage, unstage, word_hashes
 
 PERMUTATIONS = 48
-#: Items in one pass: the bound of what is sent to each worker. A larger benchmark takes more passes.
-ITEMS = 20_000
+#: Items in one pass, and characters of their texts: the bound of what is sent to each worker. More take more passes.
+ITEMS, CHARS = 20_000, 1 << 24
+#: Hashes that are permuted at once.
+SLICE = 1 << 14
+#: Bits of the place of a hash in the bitmap of all items' shingles.
+PLACE_BITS = 23
 #: Odd multipliers: each gives an order of 64-bit hashes.
 _ODD = np.random.default_rng(20240607).integers(1 << 62, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _WORD = re.compile(r"[^\W_]+")
@@ -30,7 +38,8 @@ _WORD = re.compile(r"[^\W_]+")
 
 def normal_words(text: str | None) -> list[bytes]:
     """Lower-cased runs of letters and digits: case and punctuation don't hide a copy."""
-    return [w.encode() for w in _WORD.findall((text or "").lower())]
+    joined = "\n".join(_WORD.findall((text or "").lower())).encode("utf-8", "surrogatepass")
+    return joined.split(b"\n") if joined else []
 
 
 def exact_shingles(words: list[bytes], n: int) -> set[bytes]:
@@ -39,11 +48,15 @@ def exact_shingles(words: list[bytes], n: int) -> set[bytes]:
     return {b" ".join(words[k : k + n]) for k in range(len(words) - n + 1)} if n else set()
 
 
+def signature(hashes: np.ndarray) -> np.ndarray:
+    return (hashes[None, :] * _ODD[:, None]).min(axis=1)
+
+
 class Items:
     """Signatures of the items of one pass by size class, and their shingles."""
 
-    def __init__(self, items: list[tuple[int, str]], n: int):
-        self.n, self.shingles, words = n, {}, {}
+    def __init__(self, items: list[tuple[int, str]], n: int, least: float):
+        self.shingles, words = {}, {}
         for item, text in items:
             words[item] = normal_words(text)
             self.shingles[item] = exact_shingles(words[item], n)
@@ -51,35 +64,87 @@ class Items:
         groups: dict[tuple[int, int], list[int]] = defaultdict(list)
         for item, s in self.shingles.items():
             if s:
-                groups[min(n, len(words[item])), 1 << (len(s) - 1).bit_length()].append(item)
-        self.classes = []
+                length = min(n, len(words[item]))
+                groups[length, 1 << (len(words[item]) - length).bit_length()].append(item)
+        #: By length of a shingle: a bitmap of the items' shingles, and the classes (size, shingles that a document needs
+        #: at least, sorted MinHash values, and whose they are).
+        self.lengths: dict[int, tuple[np.ndarray, list]] = {}
         for (length, size), members in sorted(groups.items()):
-            values = np.array([signature(ngram_hashes(word_hashes(words[m]), length)) for m in members])
-            owner = np.repeat(np.array(members, np.int64), PERMUTATIONS)
-            order = np.argsort(values.ravel(), kind="stable")
-            self.classes.append((length, size, values.ravel()[order], owner[order]))
+            hashes = [ngram_hashes(word_hashes(words[m]), length) for m in members]
+            values = np.concatenate([signature(h) for h in hashes])
+            order = np.argsort(values, kind="stable")
+            bitmap, classes = self.lengths.setdefault(length, (np.zeros(1 << PLACE_BITS, bool), []))
+            bitmap[np.concatenate(hashes) >> np.uint64(64 - PLACE_BITS)] = True
+            needed = min(np.ceil(least * len(self.shingles[m]) - 1e-9) for m in members)
+            classes.append((size, needed, values[order], np.repeat(np.array(members, np.int64), PERMUTATIONS)[order]))
 
     def candidates(self, words: np.ndarray) -> set[int]:
         """Items whose MinHash agrees with that of a block somewhere."""
         found: set[int] = set()
-        ordered: dict[int, np.ndarray] = {}
-        for length, size, values, owner in self.classes:
+        for length, (bitmap, classes) in self.lengths.items():
             if len(words) < length:
                 continue
-            if length not in ordered:
-                ordered[length] = ngram_hashes(words, length)[None, :] * _ODD[:, None]
-            hashes = ordered[length]
-            halves = np.minimum.reduceat(hashes, np.arange(0, hashes.shape[1], size), axis=1)
-            blocks = np.minimum(halves[:, :-1], halves[:, 1:]) if halves.shape[1] > 1 else halves
-            blocks = np.unique(blocks)
-            low, high = np.searchsorted(values, blocks), np.searchsorted(values, blocks, side="right")
-            for a, b in zip(low[low < high].tolist(), high[low < high].tolist()):
-                found.update(owner[a:b].tolist())
+            hashes = ngram_hashes(words, length)
+            hits = np.flatnonzero(bitmap[hashes >> np.uint64(64 - PLACE_BITS)])
+            for size, needed, values, owner in classes:
+                if len(hits) >= max(1, needed):
+                    for minima in block_minima(hashes, hits, size):
+                        low, high = np.searchsorted(values, minima), np.searchsorted(values, minima, side="right")
+                        for a, b in zip(low[low < high].tolist(), high[low < high].tolist()):
+                            found.update(owner[a:b].tolist())
         return found
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    return (hashes[None, :] * _ODD[:, None]).min(axis=1)
+def block_minima(hashes: np.ndarray, hits: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """The MinHash values of the blocks, two stretches of ``size`` in a row each, that have a hit; some blocks at a time."""
+    stretches = -(-len(hashes) // size)
+    of_hit = np.unique(hits // size)
+    blocks = np.unique(np.concatenate((of_hit - 1, of_hit)).clip(0, max(0, stretches - 2)))
+    at_once = max(1, SLICE // size)
+    for k in range(0, len(blocks), at_once):
+        some = blocks[k : k + at_once]
+        parts = np.unique(np.concatenate((some, np.minimum(some + 1, stretches - 1))))
+        minima = np.empty((len(parts), PERMUTATIONS), np.uint64)
+        for j in range(0, len(parts), at_once):
+            for first in range(0, size, SLICE):  # a stretch may be longer than a slice
+                places = (parts[j : j + at_once, None] * size + np.arange(first, min(size, first + SLICE))[None, :]).clip(max=len(hashes) - 1)
+                low = np.stack([(hashes[places] * odd).min(axis=1) for odd in _ODD], axis=1)
+                minima[j : j + at_once] = low if not first else np.minimum(minima[j : j + at_once], low)
+        yield np.unique(np.minimum(minima[np.searchsorted(parts, some)], minima[np.searchsorted(parts, np.minimum(some + 1, stretches - 1))]))
+
+
+def passes(items: DataFrame, item_col: str, item_text: str) -> Iterator[list[tuple]]:
+    """The items, as many at a time as one pass takes."""
+    block, size = [], 0
+    for item, text in items.select(items[item_col], items[item_text]).where(items[item_text].isNotNull()).toLocalIterator():
+        if block and (len(block) >= ITEMS or size + len(text) > CHARS):
+            yield block
+            block, size = [], 0
+        block.append((item, text))
+        size += len(text)
+    if block:
+        yield block
+
+
+class Search:
+    """The items of a pass that documents hold."""
+
+    def __init__(self, block: list[tuple], n: int, least: float):
+        self.block, self.least = block, least
+        self.items = Items([(k, text) for k, (_, text) in enumerate(block)], n, least)
+
+    def held(self, text: str | None) -> Iterator[tuple]:
+        """(item, shingles of the item, those of them in the text)."""
+        words = normal_words(text)
+        have: dict[int, set[bytes]] = {}
+        for k in sorted(self.items.candidates(word_hashes(words))) if words else ():
+            want = self.items.shingles[k]
+            length = next(iter(want)).count(b" ") + 1
+            if length not in have:
+                have[length] = exact_shingles(words, length)
+            shared = len(want & have[length])
+            if shared >= self.least * len(want):
+                yield self.block[k][0], len(want), shared
 
 
 def contamination(
@@ -90,55 +155,65 @@ def contamination(
 
     Words are lower-cased runs of letters and digits. An item with fewer than n words is one shingle; an item or a
     document without words (null and empty ones too) matches nothing. Null ids are kept as they are. Rows that repeat
-    an id and its text give the same pairs each. Other columns are not read. Empty tables give an empty result.
+    an id and its text give the same pairs each. Other columns are not read. Empty tables give an empty result. A text
+    of any length is searched whole, some blocks at a time.
 
-    Items are taken in passes of ITEMS; a pass sends its items to the workers and reads the documents once. Documents
-    are not shuffled.
+    Items are taken in passes of ITEMS items and CHARS characters at most; a pass sends its items to the workers and
+    reads the documents once, and one pass ends before the next. Documents are not shuffled.
     """
     spark = docs.sparkSession
-    kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType
-    schema = f"`{id_col}` {kind}, `{item_col}` {item_kind.simpleString()}, n_shingles long, n_shared long, containment double"
+    kind, item_type = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType
+    schema = f"`{id_col}` {kind}, `{item_col}` {item_type.simpleString()}, n_shingles long, n_shared long, containment double"
     picked = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    source = items.select(items[item_col].alias("item"), items[item_text].alias("text")).where("text IS NOT NULL")
-    out, block = None, []
-    for row in [*source.toLocalIterator(), None]:
-        if row is not None:
-            block.append((row.item, row.text))
-        if block and (row is None or len(block) == ITEMS):
-            part = picked.mapInArrow(_search(spark.sparkContext.broadcast(block), n, least, id_col, item_col), schema)
-            out = part if out is None else out.unionByName(part)
-            block = []
-    return spark.createDataFrame([], schema) if out is None else out
-
-
-def _search(shared, n: int, least: float, id_col: str, item_col: str):
-    def rows(found):
-        block = shared.value
-        items = Items([(k, text) for k, (_, text) in enumerate(block)], n)
-        for batch in found:
-            (ids, texts), out = next(batches([batch], 2)), []
-            for doc_id, text in zip(ids, texts):
-                words = normal_words(text)
-                got = items.candidates(word_hashes(words)) if words else ()
-                by_length: dict[int, set[bytes]] = {}
-                for k in sorted(got):
-                    want = items.shingles[k]
-                    length = next(iter(want)).count(b" ") + 1
-                    have = by_length.setdefault(length, exact_shingles(words, length))
-                    shared_count = len(want & have)
-                    if shared_count >= least * len(want):
-                        out.append((doc_id, block[k][0], len(want), shared_count, shared_count / len(want)))
-            kinds = (batch.schema[0].type, None, pa.int64(), pa.int64(), pa.float64())
-            columns = [pa.array([o[k] for o in out], t) if t else pa.array([o[k] for o in out], pa.int64() if not out or isinstance(out[0][1], int) else pa.string()) for k, t in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=[id_col, item_col, "n_shingles", "n_shared", "containment"])
-
-    return rows
-
-
-def clean_documents(docs: DataFrame, items: DataFrame, n: int = 5, least: float = 0.8, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without those that hold a test item; all columns and rows with a null id stay."""
-    held = contamination(docs, items, n, least, id_col=id_col).select(F.col(id_col).alias("held_id")).distinct()
-    return docs.join(held, docs[id_col] == held["held_id"], "left_anti")
+
+    def searched(shared):
+        def rows(found):
+            search = Search(shared.value, n, least)
+            for batch in found:
+                at, out = [], []
+                for k, text in enumerate(batch.column(1).to_pylist()):
+                    for got in search.held(text):
+                        at.append(k)
+                        out.append(got)
+                kinds = (to_arrow_type(item_type), pa.int64(), pa.int64(), pa.float64())
+                columns = [pa.array([(*o, o[2] / o[1])[k] for o in out], t) for k, t in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *columns], names=[id_col, item_col, "n_shingles", "n_shared", "containment"])
+
+        return rows
+
+    out, last = spark.createDataFrame([], schema), None
+    for block in passes(items, item_col, item_text):
+        if last is not None:
+            out = out.unionByName(stage(picked.mapInArrow(searched(last), schema), "contamination"))
+            last.destroy()
+        last = spark.sparkContext.broadcast(block)
+    return out if last is None else out.unionByName(picked.mapInArrow(searched(last), schema))
+
+
+def clean_documents(
+    docs: DataFrame, items: DataFrame, n: int = 5, least: float = 0.8, text_col: str = "text", item_col: str = "item_id", item_text: str = "text"
+) -> DataFrame:
+    """``docs`` without the rows that hold a test item, each judged by its own text; all columns stay. Ids, null or
+    repeated ones too, are not compared, and rows aren't shuffled. An empty table on either side takes nothing away."""
+    at = docs.columns.index(text_col)
+
+    def kept(shared):
+        def rows(found):
+            search = Search(shared.value, n, least)
+            for batch in found:
+                yield batch.filter(pa.array([next(search.held(t), None) is None for t in batch.column(at).to_pylist()], pa.bool_()))
+
+        return rows
+
+    out, last, before = docs, None, None
+    for block in passes(items, item_col, item_text):
+        if last is not None:
+            out = stage(out.mapInArrow(kept(last), docs.schema), "clean")
+            last.destroy()
+            unstage(before)
+            before = out
+        last = docs.sparkSession.sparkContext.broadcast(block)
+    return out if last is None else out.mapInArrow(kept(last), docs.schema)
 
 
 ORACLE_SQL = r"""

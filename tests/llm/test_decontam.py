@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from quarrymill.llm import decontam
 
 
@@ -47,7 +49,27 @@ def test_same_as_brute_force(spark, monkeypatch):
     assert sorted(map(tuple, decontam.contamination(found, tests).collect()), key=str) == want
     held = {d for d, *_ in want if d is not None}
     kept = [r.doc_id for r in decontam.clean_documents(found, tests).collect()]
-    assert sorted(kept, key=str) == sorted((d for d, _ in docs if d not in held), key=str)
+    assert sorted(kept, key=str) == sorted((d for d, _ in docs if d is not None and d not in held), key=str)
+
+
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (1, "other words"), (None, "x A b, c d E f"), (None, "clean")], "doc_id long, text string")
+    tests = spark.createDataFrame([("q", "a b c d e f")], "item_id string, text string")
+    assert sorted(r.text for r in decontam.clean_documents(docs, tests).collect()) == ["clean", "other words"]
+    assert sorted((str(r.doc_id), r.item_id) for r in decontam.contamination(docs, tests).collect()) == [("1", "q"), ("None", "q")]
+
+
+def test_blocks_are_those_with_hits():
+    rng = np.random.default_rng(1)
+    for n, size in ((1, 1), (1, 8), (37, 4), (300, 64), (1000, 1)):
+        hashes = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+        hits = np.flatnonzero(rng.random(n) < 0.1)
+        got = np.concatenate([np.zeros(0, np.uint64), *decontam.block_minima(hashes, hits, size)]) if len(hits) else np.zeros(0, np.uint64)
+        want = set()
+        for k in range(max(1, -(-n // size) - 1)):
+            if any(k * size <= h < (k + 2) * size for h in hits):
+                want.update(decontam.signature(hashes[k * size : (k + 2) * size]).tolist())
+        assert set(got.tolist()) == want
 
 
 def test_empty_tables(spark):
