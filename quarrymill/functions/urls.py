@@ -16,7 +16,10 @@ OTHER_PATHS = (
     "/article-search", "/event-search", "/media", "/academics", "/research", "/research-news", "/photo", "/clear", "/taxonomy", "/node",
     "/page", "/college", "/event", "/news", "/article",
 )
-LOCAL_PATHS = tuple(f"/zh-hans/{p}" for p in ("students", "faculty", "visitors", "parents", "about", "news", "research", "academics", "media", "event", "article", "taxonomy", "node", "page", "college"))
+LOCAL_PATHS = (
+    "/zh-hans/students", "/zh-hans/faculty", "/zh-hans/visitors", "/zh-hans/parents", "/zh-hans/about", "/zh-hans/news", "/zh-hans/research",
+    "/zh-hans/academics", "/zh-hans/media", "/zh-hans/event", "/zh-hans/article", "/zh-hans/taxonomy", "/zh-hans/node", "/zh-hans/page", "/zh-hans/college",
+)
 OTHER_TEXTS = ("更多", "more", "查看", "view", "详情", "detail", "链接", "link", "首页", "home", "返回", "back", "上一页", "下一页", "next", "prev", "搜索", "search", "登录", "login", "注册", "register")
 PERSON_PATHS = ("teacher", "faculty", "professor", "people", "staff")
 

@@ -29,9 +29,14 @@ def clean_documents(spark, sf):
 
 
 def clean_report_by_source(spark, sf):
-    first = quality.first_seen(docs(spark, sf), F.md5("text"), ["doc_id"]).select(F.col("doc_id").alias("kept_id"), quality.acceptable(F.col("text"), RULES).alias("good"))
-    all_rows = docs(spark, sf).select("doc_id", "source").join(first.where("good"), F.col("doc_id") == F.col("kept_id"), "left")
-    return ranking.kept_report(all_rows, F.col("kept_id").isNotNull(), "source")
+    """One scan; texts stay where they are, and what moves is a row for each text, source and task."""
+    d = docs(spark, sf).select("doc_id", "source", F.md5("text").alias("key"), quality.acceptable(F.col("text"), RULES).alias("good"))
+    of_source = d.groupBy("key", "source").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "good")).alias("first"))
+    of_key = of_source.groupBy("key").agg(F.collect_list(F.struct("source", "n", "first")).alias("sources"), F.min("first.doc_id").alias("doc_id"))
+    each = of_key.select("doc_id", F.explode("sources").alias("s")).select(
+        "s.source", "s.n", F.coalesce((F.col("s.first.doc_id") == F.col("doc_id")) & F.col("s.first.good"), F.lit(False)).cast("long").alias("kept")
+    )
+    return each.groupBy("source").agg(F.sum("n").alias("total"), F.sum("kept").alias("kept")).withColumn("kept_percent", F.round(100.0 * F.col("kept") / F.col("total"), 2))
 
 
 def dedup_mark_before(spark, sf):
