@@ -22,13 +22,13 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 
-from quarrymill.llm.common import batches
+from quarrymill.llm.common import sliced
 
 NONE = np.int32(2**31 - 1)
 #: Bytes of a row that a long piece is cut into.
 ROW = 256
 #: Cells of a matrix, characters of a sub-batch, and pieces that a worker keeps.
-CELLS, CHARS, CACHED = 1 << 20, 1 << 21, 300_000
+CELLS, CHARS, CACHED = 1 << 19, 1 << 21, 200_000
 
 
 class PairTable:
@@ -247,15 +247,22 @@ def encoded_with_digests(
 ) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256, ids): :func:`encoding_digests` with the ids."""
     columns = "n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>"
-    return _run(docs, path, pattern, id_col, text_col, columns, lambda p, d: (*_digest(p, d), _full(p, d)[0]))
+    return _run(docs, path, pattern, id_col, text_col, columns, lambda p, d: [*_digest(p, d), _ids(p)])
 
 
-def _full(packed: bytes, decoded: bytes) -> tuple:
-    return np.frombuffer(packed, "<u4").astype(np.int32).tolist(), decoded
+def _ids(packed: list[bytes]) -> pa.Array:
+    """Packed ids as lists, without an object for each."""
+    values = np.frombuffer(b"".join(packed), "<u4").astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(p) // 4 for p in packed)]), pa.int32()), pa.array(values))
 
 
-def _digest(packed: bytes, decoded: bytes) -> tuple:
-    return len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest()
+def _full(packed: list[bytes], decoded: list[bytes]) -> list[pa.Array]:
+    return [_ids(packed), pa.array(decoded, pa.binary())]
+
+
+def _digest(packed: list[bytes], decoded: list[bytes]) -> list[pa.Array]:
+    digests = (pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()) for texts in (packed, decoded))
+    return [pa.array([len(p) // 4 for p in packed], pa.int64()), *digests]
 
 
 def _run(docs, path, pattern, id_col, text_col, columns, made) -> DataFrame:
@@ -265,16 +272,12 @@ def _run(docs, path, pattern, id_col, text_col, columns, made) -> DataFrame:
     )
     picked = docs.select(docs[id_col].alias(id_col), docs[text_col].alias("text"))
     names = [id_col, *(c.split()[0] for c in columns.split(", "))]
-    types = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
-    kinds = [types[c.split()[1]] for c in columns.split(", ")]
 
     def rows(found):
         bpe, cache = shared.value, {}
-        for batch in found:
-            ((_, texts),) = batches([batch], 2)
-            got = [made(p, bpe.decode(p)) for p in bpe.encode((t or "" for t in texts), cache)]
-            made_columns = [pa.array([g[k] for g in got], kind) for k, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *made_columns], names=names)
+        for batch in sliced(found, 1):
+            packed = list(bpe.encode((t or "" for t in batch.column(1).to_pylist()), cache))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made(packed, [bpe.decode(p) for p in packed])], names=names)
 
     schema = f"`{id_col}` {picked.schema[id_col].dataType.simpleString()}, {columns}"
     return picked.mapInArrow(rows, schema)

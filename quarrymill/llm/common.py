@@ -126,9 +126,3 @@ def sliced(rows: Iterator, column: int, most: int = 1 << 22) -> Iterator[pa.Reco
             end = max(at + 1, int(np.searchsorted(sizes, most + (sizes[at - 1] if at else 0), side="right")))
             yield batch.slice(at, end - at)
             at = end
-
-
-def batches(rows: Iterator, columns: int) -> Iterator[tuple]:
-    """The columns of each Arrow batch as Python lists."""
-    for batch in rows:
-        yield tuple(batch.column(k).to_pylist() for k in range(columns))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quarrymill.llm.common import ngram_hashes, stage, unstage, word_hashes
+from quarrymill.llm.common import ngram_hashes, sliced, stage, unstage, word_hashes
 
 PERMUTATIONS = 48
 #: Items in one pass, and characters of their texts: the bound of what is sent to each worker. More take more passes.
@@ -169,7 +169,7 @@ def contamination(
     def searched(shared):
         def rows(found):
             search = Search(shared.value, n, least)
-            for batch in found:
+            for batch in sliced(found, 1):
                 at, out = [], []
                 for k, text in enumerate(batch.column(1).to_pylist()):
                     for got in search.held(text):
@@ -200,7 +200,7 @@ def clean_documents(
     def kept(shared):
         def rows(found):
             search = Search(shared.value, n, least)
-            for batch in found:
+            for batch in sliced(found, at):
                 yield batch.filter(pa.array([next(search.held(t), None) is None for t in batch.column(at).to_pylist()], pa.bool_()))
 
         return rows

@@ -12,7 +12,7 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quarrymill.llm.common import batches
+from quarrymill.llm.common import sliced
 
 #: HTML's element classes (fixed values of the standard).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -344,9 +344,8 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
     """(id, text) for each row; null ids stay, repeated rows give a row each, other columns are not read."""
 
     def rows(found):
-        for batch in found:
-            _, html = next(batches([batch], 2))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([visible_text(h) for h in html], pa.string())], names=[id_col, "text"])
+        for batch in sliced(found, 1):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([visible_text(h) for h in batch.column(1).to_pylist()], pa.string())], names=[id_col, "text"])
 
     picked = pages.select(pages[id_col].alias(id_col), pages[html_col].alias("html"))
     return picked.mapInArrow(rows, f"`{id_col}` {picked.schema[id_col].dataType.simpleString()}, text string")

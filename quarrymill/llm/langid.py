@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import batches, held_out
+from quarrymill.llm.common import held_out, sliced
 
 #: The bound of training: about so many labelled rows for each language, whole texts.
 ROWS = 250
@@ -190,9 +190,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     picked = known.where(draw < chance).select(docs[id_col].cast("string"), docs[lang_col], docs[text_col])
 
     def rows(found):
-        for batch in found:
+        for batch in sliced(found, 2):
             out = []
-            for key, lang, text in zip(*next(batches([batch], 3))):
+            for key, lang, text in zip(*(c.to_pylist() for c in batch.columns)):
                 out.append((lang, key, words_of(text)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.string(), pa.string(), pa.list_(pa.string())))], names=["lang", "key", "words"]
@@ -254,8 +254,8 @@ def predict_languages(docs: DataFrame, field: Crf, id_col: str = "doc_id", text_
 
     def rows(found):
         labeller = _Labeller(shared.value)
-        for batch in found:
-            _, texts = next(batches([batch], 2))
+        for batch in sliced(found, 1):
+            texts = batch.column(1).to_pylist()
             words = [words_of(t) for t in texts]
             words = [w if any(map(str.isalpha, "".join(w))) else [] for w in words] if shared.value.langs else [[] for _ in words]
             langs, scores = ["und"] * len(words), [0.0] * len(words)
@@ -274,8 +274,8 @@ def label_words(docs: DataFrame, field: Crf, id_col: str = "doc_id", text_col: s
 
     def rows(found):
         labeller = _Labeller(shared.value)
-        for batch in found:
-            _, texts = next(batches([batch], 2))
+        for batch in sliced(found, 1):
+            texts = batch.column(1).to_pylist()
             words = [words_of(t) for t in texts]
             langs: list[list[str]] = [[] for _ in words]
             for k, p in labeller.probabilities(words, True):
@@ -300,7 +300,7 @@ def accepted(docs: DataFrame, least: float = 0.4, id_col: str = "doc_id", text_c
 
     def rows(found):
         labeller = _Labeller(shared.value)
-        for batch in found:
+        for batch in sliced(found, at):
             words = [words_of(t) for t in batch.column(at).to_pylist()]
             words = [w if any(map(str.isalpha, "".join(w))) else [] for w in words] if shared.value.langs else [[] for _ in words]
             keep = [False] * len(words)

@@ -34,6 +34,8 @@ from quarrymill.llm.components import connected_components
 FRAGMENTS = 4
 #: Bits of a set's parity bitmap: a power of two, this many at least and no fewer than the set has shingles.
 BITS = 512
+#: Partners share a shingle in their prefixes, and one more for each so many shingles of the smaller set.
+SHARE = 100
 #: Rows of a bucket beyond which sizes deal them as well; pairs are the same.
 MANY = 64
 #: Cells in which occurrences are counted, and classes of their frequency: the k-th begins at 2 ** (k + 1) times the mean.
@@ -101,8 +103,9 @@ def signature(shingles: np.ndarray) -> bytes | None:
 
 
 def prefix_length(n: int, tenths: int = 9) -> int:
-    """Shingles of the prefix of a set of n: n less the least overlap of a partner, plus one."""
-    return n - (tenths * n + 9) // 10 + 1
+    """Shingles of the prefix of a set of n: n less the least overlap of a partner, plus one, plus one for each SHARE
+    shingles. So partners share as many in their prefixes as the smaller set has in excess, plus one."""
+    return n - (tenths * n + 9) // 10 + 1 + n // SHARE
 
 
 def needs_partner(n: int, tenths: int = 9) -> bool:
@@ -184,7 +187,7 @@ class _Join:
         found = given.select("row", F.posexplode("prefix").alias("at", "shingle")).join(several, "shingle", "left_semi")
         # One row for each document: its prefix bounds the list.
         lists = found.groupBy("row").agg(F.collect_list(F.struct("shingle", F.col("at").cast("long").alias("at"))).alias("shared"))
-        prefix = F.col("n") - F.floor((self.tenths * F.col("n") + 9) / 10) + 1
+        prefix = F.col("n") - F.floor((self.tenths * F.col("n") + 9) / 10) + 1 + F.floor(F.col("n") / SHARE)
         unshared = (1000 * (prefix - F.size("shared")) / prefix).cast("int").alias("unshared")
         out = stage(self.nodes.join(lists, "row").select("node", "n", unshared, F.explode("shared").alias("s")).select("s.shingle", "node", "n", "s.at", "unshared"), "buckets")
         unstage(several)
@@ -226,7 +229,10 @@ class _Join:
 
     def rest(self, work: DataFrame, bits: DataFrame) -> DataFrame:
         """Pairs of a bucket in different components. In a bucket of more than MANY the larger set's row is dealt by its
-        size as well: partners are of its own class of sizes or the one below. Here bitmaps are folded to BITS."""
+        size as well: partners are of its own class of sizes or the one below. Here bitmaps are folded to BITS.
+
+        A pair that wasn't looked at yet is in no bucket whose centre is one of the two, so all shingles that it shares in
+        the prefixes are in these buckets, and there must be enough of them."""
         size = F.floor(F.log("n") / math.log(1 / (self.tenths / 10 - 0.001))).cast("int")
         work = stage(work.join(bits.select("node", "brief"), "node").withColumn("size", F.when(F.col("members") > MANY, size).otherwise(-1)), "rest")
         sizes = F.when(F.col("size") < 0, F.array("size")).otherwise(F.array("size", F.col("size") + 1))
@@ -236,7 +242,8 @@ class _Join:
         near = differ <= F.col("n_a") + F.col("n_b") - 2 * self.required("n_a", "n_b")
         smaller = F.struct("n_b", "node_b") < F.struct("n_a", "node_a")
         pairs = left.join(right, ["shingle", "size"]).where(smaller & (F.col("label_a") != F.col("label_b")) & self.possible("a", "b") & near)
-        return self.distinct_pairs(pairs)
+        shared = pairs.groupBy(F.col("node_a").alias("a"), "n_a", F.col("node_b").alias("b"), "n_b").agg(F.count(F.lit(1)).alias("shared"))
+        return stage(shared.where(F.col("shared") > F.floor(F.least("n_a", "n_b") / SHARE)).drop("shared"), "pairs")
 
     def distinct_pairs(self, pairs: DataFrame) -> DataFrame:
         return stage(pairs.select(F.col("node_a").alias("a"), "n_a", F.col("node_b").alias("b"), "n_b").distinct(), "pairs")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import batches, stage
+from quarrymill.llm.common import sliced, stage
 
 KINDS = ("email", "ip", "card", "phone")
 #: Rounds; seeds that a pattern needs; confidence that a pattern, and a value, needs.
@@ -160,8 +160,8 @@ _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end
 
 
 def _scan(found):
-    for batch in found:
-        _, _, texts = next(batches([batch], 3))
+    for batch in sliced(found, 2):
+        texts = batch.column(2).to_pylist()
         base = [base_spans(t) for t in texts]
         spans = [[dict(zip(("kind", "start", "end"), s)) for s in b] for b in base]
         seen = [[dict(zip(("start", "end", "value", "kind", "patterns", "forms"), m)) for m in mentions(t, b)] for t, b in zip(texts, base)]

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import batches, mixed, ngram_hashes, stage, word_hashes, words_of
+from quarrymill.llm.common import mixed, ngram_hashes, sliced, stage, word_hashes, words_of
 
 ANCHOR = 8
 #: Odd multipliers of the two rolling hashes, modulo 2**64.
@@ -79,9 +79,9 @@ def _profile(window: int):
     """One row per document that has a window: a hash of its word sequence and its distinct anchors."""
 
     def rows(found):
-        for batch in found:
+        for batch in sliced(found, 2):
             out = []
-            for doc_id, key, text in zip(*batches([batch], 3).__next__()):
+            for doc_id, key, text in zip(*(c.to_pylist() for c in batch.columns)):
                 words = words_of(text)
                 if len(words) >= window:
                     sequence = xxhash.xxh3_128_intdigest(b" ".join(words)).to_bytes(16, "little")
@@ -102,8 +102,8 @@ def _spread(window: int, digest: bool):
 
     def rows(found):
         roll = Rolling(window)
-        for batch in found:
-            ids, keys, texts, copies, nths, lists = next(batches([batch], 6))
+        for batch in sliced(found, 2):
+            ids, keys, texts, copies, nths, lists = (c.to_pylist() for c in batch.columns)
             whole, parts = [], []
             for doc_id, key, text, copy, nth, repeated in zip(ids, keys, texts, copies, nths, lists):
                 words = words_of(text)
@@ -146,8 +146,8 @@ def _kept(words: list[bytes], cover: list[tuple[int, int]], digest: bool) -> tup
 
 def _finish(window: int, digest: bool):
     def rows(found):
-        for batch in found:
-            ids, texts, starts = next(batches([batch], 3))
+        for batch in sliced(found, 1):
+            ids, texts, starts = (c.to_pylist() for c in batch.columns)
             out = [_kept(words_of(t), intervals(np.array(s or [], np.int64), window), digest) for t, s in zip(texts, starts)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.string())))],

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import batches, held_out
+from quarrymill.llm.common import held_out, sliced
 
 #: The bound of training: about so many labelled rows of either class, by a hash of the id.
 TOXIC_ROWS, CLEAN_ROWS = 1500, 4500
@@ -41,11 +41,12 @@ SIGN, DROP, WASTE, TWICE, STRETCHED = 1.0, 0.5, 3.0, 2.0, 0.5
 
 _SYMBOL = {c: k for k, c in enumerate(LETTERS, 1)}
 _OF_BYTE = np.array([_SYMBOL.get(bytes([b]).decode("latin-1"), 0) for b in range(256)], np.int64)
-_EDGE = re.compile(r"^[^\w@$]+|[\W_]+$")
 _RUN = re.compile(r"(.)\1*", re.S)
-_ODD = re.compile(r"([^\W\d_])\1|[^\W\d_][\W\d_]+(?=[^\W_]|[@$!|+€£(])|[0-9@$!|+€£(]", re.I)
-_BEFORE, _AFTER = re.compile(r"^[^\w@$!|+€£(]+"), re.compile(r"[^\w@$|+€£]+$")
+_TWICE, _SIGN = re.compile(r"([^\W\d_])\1", re.I), re.compile(r"[0-9@$!|+€£(]")
+_PARTED = re.compile(r"[^\W\d_][\W_]+[^\W\d_]")
 _LETTER = re.compile(r"[^\W\d_]")
+#: A feature: up to four symbols that it begins with, six bits each, and this many bits of a hash.
+BEGIN, HASH_BITS = 4, 40
 
 
 def trigrams(texts: Iterable[str | None]) -> np.ndarray:
@@ -103,28 +104,47 @@ class Spelling:
 
 def odd(word: str) -> bool:
     """Whether a word has letters, and a sign that may stand for one, a separator or a letter twice in a row."""
-    return bool(_ODD.search(word) and _LETTER.search(word))
+    return bool((_SIGN.search(word) or _TWICE.search(word) or _PARTED.search(word)) and _LETTER.search(word))
+
+
+def trimmed(word: str, before: str, after: str) -> str:
+    """Without the characters at its ends that are neither letters or digits nor among ``before`` or ``after``."""
+    start, end = 0, len(word)
+    while start < end and not (word[start].isalnum() or word[start] in before):
+        start += 1
+    while end > start and not (word[end - 1].isalnum() or word[end - 1] in after):
+        end -= 1
+    return word[start:end]
+
+
+def core(word: str) -> str:
+    """A written word in lower case without signs at its edges."""
+    return trimmed(word.lower(), "_@$", "")
+
+
+def piece(word: str) -> str | None:
+    """A word that may be a part of one, lower-cased and without punctuation before and after it; None if too long."""
+    if len(word) > PIECE + 4:
+        return None
+    out = trimmed(word.lower(), "_@$!|+€£(", "_@$|+€£") or word
+    return out if len(out) <= PIECE else None
 
 
 def forms(word: str, spelling: Spelling) -> list[str]:
-    """A written word without signs at its edges, lower-cased, and its restored spelling where it looks disguised."""
-    core = _EDGE.sub("", word.lower())
-    out = [core] if core else []
+    """The core of a word, and its restored spelling where it looks disguised."""
+    out = [c] if (c := core(word)) else []
     if odd(word):
         out += [w for w in spelling.restore(word) if w not in out]
     return out
 
 
 def runs(words: list[str]) -> list[tuple[int, int, list[str]]]:
-    """(start, end, pieces) of runs of two or more short words, which may be words in pieces, some with letters.
-
-    Pieces are lower-cased and without punctuation before and after them.
-    """
+    """(start, end, pieces) of runs of two or more short words, which may be words in pieces, some with letters."""
     out, run = [], []
     for k, w in enumerate([*words, None]):
-        piece = None if w is None or len(w) > PIECE + 4 else _AFTER.sub("", _BEFORE.sub("", w.lower())) or w
-        if piece is not None and len(piece) <= PIECE:
-            run.append(piece)
+        part = None if w is None else piece(w)
+        if part is not None:
+            run.append(part)
             continue
         if len(run) > 1 and _LETTER.search("".join(run)):
             out.append((k - len(run), k, run))
@@ -148,9 +168,29 @@ def restored_text(text: str | None, spelling: Spelling) -> str:
     return " ".join(out + alone(words[at:]))
 
 
+def beginning(text: str) -> str:
+    """The first characters of a text, BEGIN at most, in which repeated ones count once."""
+    out = last = ""
+    for c in text:
+        if c != last:
+            out += c
+            if len(out) == BEGIN:
+                break
+            last = c
+    return out
+
+
+def feature(text: str, salt: str = "") -> int:
+    """A hash that also has the beginning of the text; characters outside of LETTERS are all one symbol there."""
+    code = 0
+    for c in beginning(text):
+        code = code << 6 | _SYMBOL.get(c, 63)
+    return code << HASH_BITS | xxhash.xxh3_64_intdigest(salt + text) >> (64 - HASH_BITS)
+
+
 def features(word: str) -> list[int]:
-    """Hashes of a word and of its beginnings."""
-    return [xxhash.xxh3_64_intdigest("=" + word), *(xxhash.xxh3_64_intdigest(word[:k]) for k in range(3, min(len(word), 8) + 1))]
+    """A word, and its beginnings."""
+    return [feature(word, "="), *(feature(word[:k]) for k in range(3, min(len(word), 8) + 1))]
 
 
 @dataclass
@@ -177,50 +217,88 @@ class Scorer:
 
 
 class Reader:
-    """The marks of texts; those of distinct words and runs are kept up to a bound."""
+    """The marks of texts; what is known of distinct words and runs is kept up to a bound."""
 
     def __init__(self, scorer: Scorer, spelling: Spelling):
-        self.scorer, self.spelling, self.known, self.odd = scorer, spelling, {}, {}
+        self.scorer, self.spelling = scorer, spelling
+        #: Of words: (marks, piece); of runs, and of two pieces in a row: marks, and whether they may begin a marked word.
+        self.words: dict[str, tuple[tuple[int, ...], str | None]] = {}
+        self.runs: dict[str, tuple[tuple[int, ...], ...]] = {}
+        self.pairs: dict[tuple[str, str], bool] = {}
+        #: What words with marks begin with, repeated letters once, and the shorter beginnings of that.
+        self.begin, self.shorter = set(), {""}
+        for f in scorer.weights:
+            symbols = [s for k in reversed(range(BEGIN)) if (s := f >> HASH_BITS + 6 * k & 63)]
+            if symbols and 63 not in symbols:
+                letters = "".join(LETTERS[s - 1] for s in symbols)
+                self.begin.add(letters)
+                self.shorter.update(letters[:k] for k in range(1, len(letters)))
 
     def marks(self, text: str | None) -> set[tuple[int, ...]]:
         """The marks of each distinct word that has any."""
         words = (text or "").split()
-        if len(self.known) > CACHED or len(self.odd) > CACHED:
-            self.known.clear()
-            self.odd.clear()
-        out = set()
-        for w in set(words):
-            if w not in self.known:
-                self.known[w] = (self.scorer.marks(forms(w, self.spelling)),)
-            out.update(self.known[w])
-        for _, _, run in runs(words):
-            if self.may_mark(run):
-                key = " ".join(run)
-                if key not in self.known:
-                    self.known[key] = tuple(self.scorer.marks([w]) for w in joined(run, self.spelling))
-                out.update(self.known[key])
+        if max(len(self.words), len(self.runs), len(self.pairs)) > CACHED:
+            self.words, self.runs, self.pairs = {}, {}, {}
+        known = self.words
+        for w in set(words).difference(known):
+            own = forms(w, self.spelling) if odd(w) and self.may_mark(w.lower()) else [core(w)]
+            known[w] = self.scorer.marks([x for x in own if self.may_have(x)]), piece(w)
+        found = [known[w] for w in words]
+        out = {marks for marks, _ in found}
+        run: list[str] = []
+        for _, part in [*found, ((), None)]:
+            if part is not None:
+                run.append(part)
+            elif run:
+                if len(run) > 1 and self.run_may_mark(run):
+                    key = " ".join(run)
+                    if key not in self.runs:
+                        self.runs[key] = tuple(self.scorer.marks([w]) for w in joined(run, self.spelling)) if _LETTER.search(key) else ()
+                    out.update(self.runs[key])
+                run = []
         out.discard(())
         return out
 
-    def may_mark(self, run: list[str]) -> bool:
-        """False only where no spelling of a run can have marks that its words don't have: in runs of plain letters a
-        spelling joins neighbours, and no neighbours joined have a feature with a weight."""
-        if len(run) > RUN:
-            return True
-        for w in run:
-            if w not in self.odd:
-                self.odd[w] = not w.isalpha() or odd(w) or any(c not in _SYMBOL for c in w)
-            if self.odd[w]:
-                return True
-        weights = self.scorer.weights
-        for k in range(len(run) - 1):
-            whole = run[k]
-            for w in run[k + 1 :]:
-                before, whole = len(whole), whole + w
-                if xxhash.xxh3_64_intdigest("=" + whole) in weights:
-                    return True
-                if before < 8 and any(xxhash.xxh3_64_intdigest(whole[:n]) in weights for n in range(max(3, before + 1), min(len(whole), 8) + 1)):
-                    return True
+    def may_have(self, word: str) -> bool:
+        """False only for words without marks: none of their features begins as one with a weight does."""
+        b = beginning(word)
+        return any(b[:k] in self.begin for k in range(1, len(b) + 1)) or any(c not in _SYMBOL for c in b)
+
+    def may_mark(self, text: str) -> bool:
+        """False only where no spelling of a text has a word with marks: none can begin as one. A word begins after
+        anything but a letter; signs stand for letters or are dropped, and repeated letters count once."""
+        begun: set[str] = set()
+        edge = True
+        for c in text:
+            if edge:
+                begun.add("")
+            letter = c in _SYMBOL
+            new = set() if letter else begun.copy()
+            for other in c if letter else LEET.get(c, ""):
+                for b in begun:
+                    longer = b if b.endswith(other) else b + other
+                    if longer in self.begin:
+                        return True
+                    if longer in self.shorter:
+                        new.add(longer)
+            begun, edge = new, not letter
+        return False
+
+    def run_may_mark(self, run: list[str]) -> bool:
+        """The same of a run; one of plain letters only has other words where neighbours are joined."""
+        for two in zip(run, run[1:]):
+            may = self.pairs.get(two)
+            if may is None:
+                whole = "".join(two)
+                if all(c in _SYMBOL for c in whole):
+                    b = beginning(whole)
+                    may = b in self.shorter or any(b[:k] in self.begin for k in range(1, len(b) + 1))
+                else:
+                    may = True
+                self.pairs[two] = may
+            if may:
+                key = " ".join(run)
+                return key in self.runs or self.may_mark(key)
         return False
 
 
@@ -242,9 +320,8 @@ def count_trigrams(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
     def rows(found):
         total = np.zeros(SIZE**3, np.int64)
-        for batch in found:
-            (texts,) = next(batches([batch], 1))
-            total += trigrams(texts)
+        for batch in sliced(found, 0):
+            total += trigrams(batch.column(0).to_pylist())
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["gram", "n"])
 
@@ -270,13 +347,9 @@ def train(docs: DataFrame, labels: DataFrame, spelling: Spelling) -> Scorer:
 
     def rows(found):
         known: dict[str, tuple[str, ...]] = {}
-        for batch in found:
-            bad, texts = next(batches([batch], 2))
-            out = []
-            for text in texts:
-                words = (text or "").split()
-                out.append(described(words, shared.value, known).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.bool_()), pa.array(out, pa.binary())], names=["bad", "features"])
+        for batch in sliced(found, 1):
+            out = [described((text or "").split(), shared.value, known).tobytes() for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["bad", "features"])
 
     # The sample's size is bounded by its two parameters, so it can be sent to every task.
     picked = docs.join(F.broadcast(sample), docs["doc_id"] == sample["id"]).select("bad", docs["text"])
@@ -333,9 +406,8 @@ def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def rows(found):
         scorer, spelled = model.value
         reader = Reader(scorer, spelled)
-        for batch in found:
-            _, texts = next(batches([batch], 2))
-            scores = [scorer.score(reader.marks(t)) for t in texts]
+        for batch in sliced(found, 1):
+            scores = [scorer.score(reader.marks(t)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     scored = docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, score double")

@@ -94,9 +94,9 @@ def test_words_with_signs_anywhere_are_looked_at(written):
 def test_runs_are_left_out_only_without_marks(spelling):
     scorer = toxicity.Scorer({f: 5.0 for w in BAD for f in toxicity.features(w)})
     every = toxicity.Reader(scorer, spelling)
-    every.may_mark = lambda run: True
+    every.may_mark = every.run_may_mark = lambda run: True
     rng = random.Random(4)
-    pieces = "id iot mor on tra sh the and tree thin i d o t 1d 10t m00 tr@ sh! it's".split()
+    pieces = "id iot mor on tra sh the and tree thin i d o t 1d 10t m00 tr@ sh! it's iid ott mmo idiot! m0ron tra$h gar-den".split()
     for _ in range(300):
         text = " ".join(rng.choice(pieces) for _ in range(rng.randrange(1, 9)))
         assert toxicity.Reader(scorer, spelling).marks(text) == every.marks(text), text
