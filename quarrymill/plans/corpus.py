@@ -233,12 +233,12 @@ def qa_response_validate(spark, sf):
     return got.select("doc_id", "r.status", "r.reason", F.size("r.qas").cast("long").alias("n"), F.get("r.qas", F.lit(0)).question.alias("question"), F.get("r.qas", F.lit(0)).answer_type.alias("answer_type"))
 
 
-def _query_vector(spark, sf) -> list[float]:
+def query_vector(spark, sf) -> list[float]:
     return [float(x) for x in table(spark, sf, "embeddings").where("vec_id = 0").first().embedding]
 
 
 def naive_topk(spark, sf):
-    found = retrieval.top_k(table(spark, sf, "embeddings"), _query_vector(spark, sf), 10)
+    found = retrieval.top_k(table(spark, sf, "embeddings"), query_vector(spark, sf), 10)
     return found.select("vec_id", F.round("score", 6).alias("score"))
 
 
@@ -260,7 +260,7 @@ def graph(spark, sf):
 
 
 def graph_mode(mode: str):
-    return lambda spark, sf: retrieval.retrieve(mode, _query_vector(spark, sf), *graph(spark, sf), 3)
+    return lambda spark, sf: retrieval.retrieve(mode, query_vector(spark, sf), *graph(spark, sf), 3)
 
 
 def event_windows(spark, sf):

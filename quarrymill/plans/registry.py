@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quarrymill.functions import text as T
 from quarrymill.operators import quality, records
 from quarrymill.plans import corpus as C
-from quarrymill.plans import oracles, scheme_queries
+from quarrymill.plans import oracles, record_queries, scheme_queries
 
 _docs = C.of_documents
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -67,5 +67,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{f"retrieve_{mode}": C.graph_mode(mode) for mode in ("naive", "local", "global", "hybrid", "mix", "bypass")},
     "event_windows": C.event_windows,
     **scheme_queries.QUERIES,
+    **record_queries.QUERIES,
 }
-ORACLES: dict[str, str] = oracles.ORACLES | scheme_queries.ORACLES
+ORACLES: dict[str, str] = oracles.ORACLES | scheme_queries.ORACLES | record_queries.ORACLES
