@@ -52,8 +52,8 @@ def density_pool(rows: DataFrame, content: Column, k: int, ratio: float, order:
 
 
 def sample(rows: DataFrame, k: int, key: str, seed: int = 42) -> DataFrame:
-    """k rows by a hash of their key: the same ones in every run, each as likely as another."""
-    return rows.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(k)
+    """k rows by the MD5 of seed and key: the same ones in every run and on every engine, each as likely as another."""
+    return rows.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(k)
 
 
 def smart_sample(rows: DataFrame, content: Column, k: int, ratio: float, key: str, seed: int = 42) -> DataFrame:

@@ -168,7 +168,51 @@ WITH RECURSIVE p AS (
 SELECT doc_id, piece_no, length(content) AS n, md5(content) AS digest FROM u WHERE length(content) >= 30
 """
 
+SEEN = "regexp_replace(html, '(?s)<!--.*?-->|<script>.*?</script>|<style>.*?</style>|<!DOCTYPE[^>]*>', '', 'g')"
+
+
+def unescaped(c: str) -> str:
+    for entity, character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "'"), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+        c = f"replace({c}, {quoted(entity)}, {quoted(character)})"
+    return c
+
+
+def strings(html: str) -> str:
+    """The texts between tags, a line each."""
+    return f"array_to_string(list_filter(list_transform(regexp_split_to_array({html}, '<[^>]*>'), lambda x: {strip(unescaped('x'))}), lambda x: x <> ''), chr(10))"
+
+
+LINKS = """links AS (
+  SELECT page_id, base, unnest(hrefs) AS href, unnest(texts) AS text, unnest(range(0, len(hrefs))) AS pos FROM (
+    SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') AS base, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS hrefs, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS texts FROM pages)
+)"""
+DENSE = f"SELECT doc_id, density FROM (SELECT doc_id, {DENSITY} AS density FROM documents) ORDER BY density DESC, doc_id LIMIT (SELECT least(100, greatest(50, floor(count(*) * 0.3)))::BIGINT FROM documents)"
+MESSAGE = """'{"role":"' || role || '","content":' || to_json(text)::VARCHAR || '}'"""
+
 ORACLES = {
+    # Without a sequence that is UTF-8 read as Latin-1, nothing above ASCII survives the second reading.
+    "mojibake_repair": """
+        SELECT doc_id, CASE WHEN regexp_matches(text, '[\\x{c2}-\\x{df}][\\x{80}-\\x{bf}]') THEN 'not expected' WHEN length(text) >= 10 AND regexp_matches(substr(text, 1, 100), '[^\\x00-\\x7f\\x{4e00}-\\x{9fff}\\x{3400}-\\x{4dbf}]')
+          AND length(plain) > length(text) * 0.5 THEN plain ELSE text END AS repaired FROM (SELECT doc_id, text, regexp_replace(text, '[^\\x00-\\x7f]', '', 'g') AS plain FROM documents)""",
+    "smart_sample": f"SELECT doc_id, density FROM ({DENSE}) ORDER BY md5('42:' || doc_id), doc_id LIMIT 50",
+    "seeded_sample": "SELECT doc_id FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 100",
+    "chat_messages": f"""
+        WITH said AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations WHERE role <> 'system'),
+        lead AS (SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS text FROM conversations WHERE role = 'system' GROUP BY conv_id),
+        asked AS (SELECT conv_id, turn, n FROM said WHERE role = 'user' UNION ALL SELECT conv_id, turn, n FROM said WHERE n = 1 AND conv_id NOT IN (SELECT conv_id FROM said WHERE role = 'user')
+          UNION ALL SELECT conv_id, min(turn), 1 FROM conversations WHERE conv_id NOT IN (SELECT conv_id FROM said) GROUP BY conv_id),
+        ends AS (SELECT conv_id, turn, coalesce(lead(n) OVER (PARTITION BY conv_id ORDER BY n), 1000000000) AS stop FROM asked),
+        parts AS (SELECT e.conv_id, e.turn, s.n, {MESSAGE} AS m FROM ends e JOIN said s ON s.conv_id = e.conv_id AND s.n < e.stop
+          UNION ALL SELECT e.conv_id, e.turn, 0, {MESSAGE.replace("role || '", "'system' || '")} FROM ends e JOIN lead l ON l.conv_id = e.conv_id WHERE text <> '')
+        SELECT conv_id, turn, '[' || string_agg(m, ',' ORDER BY n) || ']' AS messages FROM parts GROUP BY conv_id, turn""",
+    "html_links": f"WITH {LINKS} SELECT page_id, pos, {strip('text')} AS text, base || href AS url FROM links",
+    "frontier_anti_join": f"WITH {LINKS} SELECT DISTINCT base || href AS url FROM links WHERE base || href NOT IN (SELECT regexp_replace(regexp_replace(url, '(?s)#.*$', ''), '/+$', '') FROM pages)",
+    "html_main": f"""
+        WITH p AS (SELECT page_id, {SEEN} AS h FROM pages), t AS (SELECT page_id, {strings("regexp_extract(h, '(?s)<article>(.*?)(</article>|$)', 1)")} AS article, {strings("regexp_extract(h, '(?s)<body>(.*?)(</body>|$)', 1)")} AS body, {strings('h')} AS whole FROM p),
+        c AS (SELECT page_id, CASE WHEN length(article) > 50 THEN article WHEN length(body) > 50 THEN body ELSE whole END AS content FROM t)
+        SELECT page_id, content, {count('content', NS + '+')} AS word_count, '' AS meta_description FROM c""",
+    "html_person": f"""
+        SELECT page_id, 1 AS max_page, {strip(unescaped("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)"))} AS name, regexp_extract({strings(SEEN)}, {quoted(EMAIL)}) AS email, NULL::VARCHAR AS site FROM pages""",
     "clean_documents": f"SELECT doc_id, source FROM ({FIRST}) WHERE rank = 1 AND {GOOD}",
     "clean_report_by_source": f"SELECT source, count(*) AS total, sum((rank = 1 AND {GOOD})::INT)::BIGINT AS kept, round(100.0 * sum((rank = 1 AND {GOOD})::INT) / count(*), 2)::DOUBLE AS kept_percent FROM ({FIRST}) GROUP BY source",
     "dedup_mark_before": f"SELECT doc_id, source FROM (SELECT *, {OF_SOURCE} AS rank FROM documents) WHERE rank = 1 AND {LONG}",
@@ -180,7 +224,7 @@ ORACLES = {
     "control_strip": f"SELECT doc_id, regexp_replace(text, {quoted(CONTROL)}, '', 'g') AS stripped FROM documents",
     "word_counts": f"SELECT doc_id, {count('text', NS + '+')} AS words, {count('text', SCRIPT_RUN)} AS script_runs FROM documents",
     "info_density": f"SELECT doc_id, {DENSITY} AS density FROM documents",
-    "density_candidates": f"SELECT doc_id, density FROM (SELECT doc_id, {DENSITY} AS density FROM documents) ORDER BY density DESC, doc_id LIMIT (SELECT least(100, greatest(50, floor(count(*) * 0.3)))::BIGINT FROM documents)",
+    "density_candidates": DENSE,
     "truncate_marker": f"SELECT doc_id, CASE WHEN length(text) > 2800 THEN substr(text, 1, 2800) || {CUT} ELSE text END AS cut FROM documents",
     "head_tail_split": "SELECT doc_id, substr(text, 1, 2000) AS head, substr(text, 2001) AS tail FROM documents",
     "mostly_english": f"SELECT doc_id, coalesce(CASE WHEN l > 0 THEN l / (l + c) > 0.7 END, false) AS english FROM (SELECT doc_id, {count('text', '[a-zA-Z]')} AS l, {count('text', '[\\x{4e00}-\\x{9fff}]')} AS c FROM documents)",

@@ -1,4 +1,4 @@
-"""SparkSession defaults for the engine, the folder that its steps share, and its modules on the executors."""
+"""SparkSession defaults for the engine, the folder that its steps share, and what its queries need of a session."""
 
 from __future__ import annotations
 
@@ -44,8 +44,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Sends this package's modules to the executors, once for an application, so that they need no copy of it."""
+#: Bytes of rows that go to a Python worker at once: a bound of what workers and their executors hold of texts.
+BATCH_BYTES = 4 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """Bounds what goes to Python workers at once, and sends this package's modules to the executors, once for an
+    application, so that they need no copy of it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context, root = spark.sparkContext, Path(__file__).parent
     if getattr(context, "_quarrymill_shipped", False) or not root.is_dir():
         return
