@@ -28,7 +28,7 @@ NONE = np.int32(2**31 - 1)
 #: Bytes of a row that a long piece is cut into.
 ROW = 256
 #: Cells of a matrix, characters of a sub-batch, and pieces that a worker keeps.
-CELLS, CHARS, CACHED = 1 << 19, 1 << 21, 200_000
+CELLS, CHARS, CACHED = 1 << 18, 1 << 19, 200_000
 
 
 class PairTable:
@@ -275,7 +275,7 @@ def _run(docs, path, pattern, id_col, text_col, columns, made) -> DataFrame:
 
     def rows(found):
         bpe, cache = shared.value, {}
-        for batch in sliced(found, 1):
+        for batch in sliced(found, 1, CHARS):
             packed = list(bpe.encode((t or "" for t in batch.column(1).to_pylist()), cache))
             yield pa.RecordBatch.from_arrays([batch.column(0), *made(packed, [bpe.decode(p) for p in packed])], names=names)
 

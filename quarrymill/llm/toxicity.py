@@ -171,6 +171,8 @@ def restored_text(text: str | None, spelling: Spelling) -> str:
 def beginning(text: str) -> str:
     """The first characters of a text, BEGIN at most, in which repeated ones count once."""
     out = last = ""
+    if len(text) >= BEGIN and len(set(text[:BEGIN])) == BEGIN:
+        return text[:BEGIN]
     for c in text:
         if c != last:
             out += c
@@ -225,6 +227,7 @@ class Reader:
         self.words: dict[str, tuple[tuple[int, ...], str | None]] = {}
         self.runs: dict[str, tuple[tuple[int, ...], ...]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.beginnings: dict[str, bool] = {}
         #: What words with marks begin with, repeated letters once, and the shorter beginnings of that.
         self.begin, self.shorter = set(), {""}
         for f in scorer.weights:
@@ -237,12 +240,17 @@ class Reader:
     def marks(self, text: str | None) -> set[tuple[int, ...]]:
         """The marks of each distinct word that has any."""
         words = (text or "").split()
-        if max(len(self.words), len(self.runs), len(self.pairs)) > CACHED:
-            self.words, self.runs, self.pairs = {}, {}, {}
+        if max(len(self.words), len(self.runs), len(self.pairs), len(self.beginnings)) > CACHED:
+            self.words, self.runs, self.pairs, self.beginnings = {}, {}, {}, {}
         known = self.words
         for w in set(words).difference(known):
-            own = forms(w, self.spelling) if odd(w) and self.may_mark(w.lower()) else [core(w)]
-            known[w] = self.scorer.marks([x for x in own if self.may_have(x)]), piece(w)
+            low = w.lower()
+            if low.isalpha():  # what core, odd and piece say of plain words
+                body, strange, part = low, _TWICE.search(low), low if len(low) <= PIECE and len(w) <= PIECE + 4 else None
+            else:
+                body, strange, part = core(w), odd(w), piece(w)
+            own = forms(w, self.spelling) if strange and self.may_mark(low) else [body]
+            known[w] = self.scorer.marks([x for x in own if self.may_have(x)]), part
         found = [known[w] for w in words]
         out = {marks for marks, _ in found}
         run: list[str] = []
@@ -262,7 +270,11 @@ class Reader:
     def may_have(self, word: str) -> bool:
         """False only for words without marks: none of their features begins as one with a weight does."""
         b = beginning(word)
-        return any(b[:k] in self.begin for k in range(1, len(b) + 1)) or any(c not in _SYMBOL for c in b)
+        may = self.beginnings.get(b)
+        if may is None:
+            may = any(b[:k] in self.begin for k in range(1, len(b) + 1)) or any(c not in _SYMBOL for c in b)
+            self.beginnings[b] = may
+        return may
 
     def may_mark(self, text: str) -> bool:
         """False only where no spelling of a text has a word with marks: none can begin as one. A word begins after
