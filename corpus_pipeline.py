@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarrymill.llm import bpe, decontam, exact_dedup, langid, ngram_join
 from quarrymill.llm.common import stage, table
-from quarrymill.session import ship_package
+from quarrymill.session import prepare
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: texts in no language, and those that none of the learned languages fits well, go."""
-    ship_package(spark)
+    prepare(spark)
     return langid.accepted(docs)
 
 
