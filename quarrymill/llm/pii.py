@@ -1,7 +1,7 @@
 """Personal data: fixed expressions, and identifiers that they miss but whose contexts give them away.
 
 What the expressions find seeds a bootstrap. Every mention of something with a digit or an at sign has lexical patterns:
-the words before it, and the word after it. Patterns and mentioned values form a graph. Spark scores it in rounds: a
+the words before it, the word after it, and its own shape. Patterns and mentioned values form a graph. Spark scores it in rounds: a
 pattern by the share of its values that are known to be of a kind, a value by the patterns it occurs in. Values in
 patterns of high confidence whose form fits the kind are new identifiers.
 """
@@ -27,7 +27,7 @@ _CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MARK, _SPACE = re.compile(r"[0-9@]"), re.compile(r"\s")
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = _LETTERS = re.compile(r"[^\W\d_]+")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 
 
@@ -92,7 +92,14 @@ def fits(kind: str, value: str) -> bool:
         return "@" in value and digits < len(value)
     if kind == "ip":
         return value.count(".") + value.count(":") >= 3 and digits >= 4
-    return "@" not in value and (12 <= digits <= 19 if kind == "card" else 7 <= digits <= 15) and 3 * digits >= 2 * len(value.replace(" ", ""))
+    if "@" in value or 3 * digits < 2 * len(value.replace(" ", "")):
+        return False
+    return 7 <= digits <= 15 if kind == "phone" else 12 <= digits <= 19 and luhn("".join(_DIGIT.findall(value)))
+
+
+def shape(value: str) -> str:
+    """A value with each digit as 9 and each run of letters as x."""
+    return _LETTERS.sub("x", _DIGIT.sub("9", value))
 
 
 def marked_stretches(text: str) -> Iterator[tuple[int, int]]:
@@ -151,6 +158,7 @@ def mentions(text: str | None, base: list[tuple[str, int, int]]) -> list[tuple[i
         patterns = [f"{left[-1]} _"] if left else []
         patterns += [f"{' '.join(left)} _"] if len(left) == 2 else []
         patterns += [f"{left[-1]} _ {right[0]}"] if left and right else []
+        patterns.append(f"_ {shape(value)}")
         out.append((start, end, re.sub(r"\W", "", value), kind, patterns, forms))
     return out
 

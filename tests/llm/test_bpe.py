@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -64,3 +65,30 @@ def test_documents(spark, own, library):
     full = {r.doc_id: r for r in bpe.encode_documents(docs).collect()}
     assert full[1].ids == library.encode_ordinary("A dog.") and bytes(full[1].decoded) == b"A dog."
     assert bpe.encoding_digests(docs.limit(0)).collect() == []
+
+
+def test_every_token_is_its_own_encoding(own):
+    """What joining cut pieces by their neighbours rests on."""
+    tokens = [own.decode(k.to_bytes(4, "little")) for k in range(len(own.lengths)) if own.lengths[k]]
+    assert own._encode_rows(tokens) == [k.to_bytes(4, "little") for k in range(len(own.lengths)) if own.lengths[k]]
+
+
+def long_pieces():
+    rng = random.Random(8)
+    yield from ("a" * 5000, "abc" * 2000, "." * 5000, "é" * 3000, " " * 5000)
+    for alphabet in ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "._-=+#*", "漢字仮名交", "etaoin"):
+        for size in (257, 1000, 20_000):
+            yield "".join(rng.choice(alphabet) for _ in range(size))
+
+
+def test_long_pieces_are_the_librarys(own, library):
+    found = list(long_pieces())
+    for text, got in zip(found, own.encode(found, {})):
+        assert got == packed(library.encode_ordinary(text)), text[:40]
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000, " " * 1_000_000, "1" * 1_000_000, "." * 1_000_000])
+def test_a_million_characters_without_a_break(own, text):
+    began = time.time()
+    (got,) = own.encode([text], {})
+    assert own.decode(got) == text.encode() and time.time() - began < 10

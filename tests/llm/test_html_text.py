@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -63,3 +64,24 @@ def test_formulas_and_drawings():
     assert visible_text(page) == "so x=2 holds here"
     page = "<svg><title>t</title><desc>d</desc><defs/><defs><text>no</text></defs><rect/><g><text>one</text><text>two <tspan>three</tspan></text></g></svg>end"
     assert visible_text(page) == "one two three end"
+
+
+def test_hidden_text_stays_hidden_at_any_depth():
+    for depth in (10, 149, 1000, 20_000):
+        assert visible_text("<div>" * depth + "<div hidden><span>secret</span></div>seen") == "seen"
+
+
+@pytest.mark.parametrize(
+    "html",
+    ["<table>" + "<tr><td rowspan=60000 colspan=1000>a</td></tr>" * 2000 + "</table>", "<span>" * 100_000 + "x", "<p>" + "<span>" * 30_000 + "<div>" * 30_000 + "x", "<ul><li>" * 3000 + "x",
+     "<table><tr><td>" * 3000 + "x", "a" * 1_000_000, " " * 1_000_000, "<" * 200_000, "&" * 200_000, "<li>" * 50_000],
+)
+def test_hard_pages_take_no_longer_than_their_length(html):
+    began = time.time()
+    visible_text(html)
+    assert time.time() - began < 5
+
+
+def test_row_spans_move_later_cells():
+    rows = "<tr><td rowspan=2>a</td><td>b</td></tr><tr><td>c</td><td>d</td></tr><tr><td>e</td></tr>"
+    assert visible_text(f"<table>{rows}</table>").split("\n") == ["a  b", "   c  d", "e"]

@@ -1,6 +1,9 @@
 import hashlib
 import random
 import re
+import time
+
+import pytest
 
 from quarrymill.llm import pii
 
@@ -80,3 +83,58 @@ def test_bootstrap_finds_identifiers_beside_found_ones(spark):
     got = {r.doc_id: r.spans for r in pii.personal_data_report(spark.createDataFrame(data, "doc_id long, text string")).collect()}
     for k, text in data[40:]:
         assert got[k].endswith(f",phone:{text.index(' 0') + 1}:{text.index(' today')}")
+
+
+def looped(edges, rounds):
+    """The scoring by plain loops over a list of (pattern, value, kind, seed)."""
+    scores = {(v, k): float(s) for _, v, k, s in edges}
+    for _, v, k, s in edges:
+        scores[v, k] = max(scores[v, k], float(s))
+    own, confident = dict(scores), {}
+    for _ in range(rounds):
+        confident = {}
+        for p, k in {(p, k) for p, _, k, _ in edges}:
+            mine = [(v, s) for q, v, x, s in edges if (q, x) == (p, k)]
+            share = sum(scores[v, k] for v, _ in mine) / len({v for q, v, _, _ in edges if q == p})
+            if sum(s for _, s in mine) >= pii.SEEDS and share >= pii.CONFIDENT:
+                confident[p, k] = share
+        for v, k in own:
+            wrong = 1.0
+            for p in {p for p, w, x, _ in edges if (w, x) == (v, k)}:
+                wrong *= max(1 - confident[p, k], 1e-6) if (p, k) in confident else 1.0
+            scores[v, k] = max(own[v, k], 1 - wrong)
+    return confident, scores
+
+
+def test_graph_is_scored_as_by_loops(spark):
+    rng = random.Random(6)
+    edges = set()
+    for v in range(60):
+        seed = rng.random() < 0.7
+        for p in rng.sample(range(12), 3):
+            for kind in ("phone", "card")[: rng.choice((1, 2))]:
+                edges.add((f"p{p}", f"v{v}", kind, seed and kind == "phone"))
+    edges = sorted(edges)
+    patterns, values = pii.scored_values(spark.createDataFrame(edges, "pattern string, value string, kind string, seed boolean"))
+    want_patterns, want_values = looped(edges, pii.ROUNDS)
+    got = {(r.pattern, r.kind): round(r.confidence, 6) for r in patterns.collect()}
+    assert got == {k: round(v, 6) for k, v in want_patterns.items()} and got
+    assert {(r.value, r.kind): round(r.score, 6) for r in values.collect()} == {k: round(v, 6) for k, v in want_values.items()}
+
+
+def test_shapes_of_seeds_find_identifiers_without_contexts(spark):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    data = [(k, f"{word()} {word()} +1 (0{k:02d}) 555-7{k:03d} {word()}") for k in range(40)]
+    # What follows makes one run of too many digits of both, so that no expression finds the phone.
+    data += [(100 + k, f"{word()} {word()} +1 (0{k:02d}) 555-8{k:03d} 10.1.2.{k} {word()}") for k in range(3)]
+    got = {r.doc_id: r for r in pii.personal_data_report(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    for k, text in data[40:]:
+        assert got[k].n_phone == 0 and got[k].spans.startswith(f"phone:{text.index('+')}:{text.index(' 10.')},ip:")
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000 + "1", "1" * 1_000_000, "." * 1_000_000 + "@1", " " * 1_000_000 + "1", "a1 " * 300_000, "a@b.c " * 100_000, "1.1.1.1 " * 100_000, "+1 " * 200_000])
+def test_long_texts_take_no_longer_than_their_length(text):
+    began = time.time()
+    pii.mentions(text, pii.base_spans(text))
+    assert time.time() - began < 8
