@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import mixed, ngram_hashes, sliced, stage, word_hashes, words_of
+from quarrymill.llm.common import mixed, ngram_hashes, sliced, stage, unstage, word_hashes, words_of
 
 ANCHOR = 8
 #: Odd multipliers of the two rolling hashes, modulo 2**64.
@@ -178,13 +178,15 @@ def remove_repeats(docs: DataFrame, window: int = 50, digest: bool = False, id_c
     repeated = stage(of_leads.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("anchor"), "repeated-anchors")
     lists = of_leads.join(repeated, "anchor").groupBy("id", "row_key").agg(F.collect_set("anchor").alias("repeated"))
     nth = F.dense_rank().over(_by_id()) - 1
-    info = (
+    info = stage(
         profile.select("id", "row_key", "sequence").distinct().withColumn("nth", nth)
         .join(leads, "sequence").join(lists, ["id", "row_key"], "left")
         .select("id", "row_key", "nth", (F.col("lead") < F.col("id")).alias("copy"), "repeated")
         .where("copy OR repeated IS NOT NULL")
-        .select("id", "row_key", "nth", "copy", F.when(~F.col("copy"), F.col("repeated")).alias("repeated"))
+        .select("id", "row_key", "nth", "copy", F.when(~F.col("copy"), F.col("repeated")).alias("repeated")),
+        "documents",
     )
+    unstage(profile, leads, repeated)
     joined = rows.join(info, ["id", "row_key"], "left").select("id", "row_key", "text", "copy", "nth", "repeated")
     parts = stage(
         joined.mapInArrow(

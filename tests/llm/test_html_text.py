@@ -1,4 +1,5 @@
 import html
+import random
 import re
 import time
 
@@ -85,3 +86,40 @@ def test_hard_pages_take_no_longer_than_their_length(html):
 def test_row_spans_move_later_cells():
     rows = "<tr><td rowspan=2>a</td><td>b</td></tr><tr><td>c</td><td>d</td></tr><tr><td>e</td></tr>"
     assert visible_text(f"<table>{rows}</table>").split("\n") == ["a  b", "   c  d", "e"]
+
+
+def random_page(rng, depth=0):
+    """(html, the same as text with marks: 1 for a line's end, 2 for a blank line) of nested blocks, spans and hidden
+    parts. Paragraphs have no blocks in them, which would end them."""
+    out_html, out_text = "", ""
+    for _ in range(rng.randrange(1, 4)):
+        kind = rng.choice(("text", "text", "div", "p", "span", "hidden", "br", "comment"))
+        if kind == "text" or depth > 4:
+            words = rng.choice((" one two ", "three", " four\n five", "x", " "))
+            out_html, out_text = out_html + words, out_text + words
+        elif kind == "p":
+            words = rng.choice(("para one", " para  two ", ""))
+            out_html, out_text = out_html + f"<p>{words}</p>", out_text + f"\2{words}\2"
+        elif kind == "br":
+            out_html, out_text = out_html + "y<br>z", out_text + "y\1z"
+        elif kind == "comment":
+            out_html += "<!-- not seen <p> -->"
+        else:
+            inner_html, inner_text = random_page(rng, depth + 1)
+            if kind == "div":
+                out_html, out_text = out_html + f"<div class='a'>{inner_html}</div>", out_text + f"\1{inner_text}\1"
+            elif kind == "span":
+                out_html, out_text = out_html + f"<span>{inner_html}</span>", out_text + inner_text
+            else:
+                out_html += rng.choice(("<div hidden>{}</div>", "<div style='display:none'>{}</div>", "<noscript>{}</noscript>")).format(inner_html)
+    return out_html, out_text
+
+
+def test_random_pages_against_marks_in_a_string():
+    rng = random.Random(3)
+    for _ in range(2000):
+        page, marked = random_page(rng)
+        # Lines, then blank lines where a paragraph ends or begins, each once.
+        want = re.sub(r"[ \n]+", " ", marked)
+        want = re.sub(r" ?([\1\2])[ \1\2]*", lambda m: "\n\n" if "\2" in m[0] else "\n", want)
+        assert visible_text(page) == want.strip(" \n"), page

@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 import zlib
 
 import numpy as np
@@ -88,3 +89,31 @@ def test_accepted_keeps_switched_texts_and_rows_without_ids(spark):
     got = langid.accepted(docs)
     assert got.schema == docs.schema
     assert sorted(map(str, got.collect())) == sorted(str(r) for r in docs.collect() if r.text not in ("12 34", ""))
+
+
+def test_predictions_are_those_of_all_labellings(spark, field):
+    rng = random.Random(8)
+    rows = [(k, " ".join(text(rng, rng.choice(list(SOUNDS)), 1) for _ in range(rng.randrange(1, 7)))) for k in range(40)]
+    got = {r.doc_id: r for r in langid.predict_languages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), field).collect()}
+    for k, t in rows:
+        mean = brute(field, langid.words_of(t)).mean(axis=0)
+        assert got[k].lang_pred == field.langs[int(mean.argmax())] and abs(got[k].score - mean.max()) < 1e-4
+
+
+def test_accepted_are_those_of_all_labellings(spark):
+    rng = random.Random(9)
+    rows = [(k, text(rng, lang, 6), lang) for k, lang in enumerate(list(SOUNDS) * 20)]
+    rows += [(100 + k, " ".join("".join(rng.choice("bcdfgxyzaeiou") for _ in range(5)) for _ in range(4)), None) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = langid.train(docs)
+    means = {k: brute(learned, langid.words_of(t)).max(axis=1).mean() for k, t, _ in rows}
+    for least in (0.4, 0.9):
+        got = {r.doc_id for r in langid.accepted(docs, least).collect()}
+        assert {k for k, m in means.items() if m >= least + 1e-4} <= got <= {k for k, m in means.items() if m >= least - 1e-4}
+
+
+@pytest.mark.parametrize("words", ["a" * 1_000_000, " " * 1_000_000, "1" * 1_000_000, "." * 1_000_000, "ba " * 300_000])
+def test_long_texts(field, words):
+    began = time.time()
+    list(langid._Labeller(field).probabilities([langid.words_of(words)], False))
+    assert time.time() - began < 15

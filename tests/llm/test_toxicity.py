@@ -1,4 +1,6 @@
+import math
 import random
+import time
 import zlib
 
 import pytest
@@ -100,3 +102,56 @@ def test_runs_are_left_out_only_without_marks(spelling):
     for _ in range(300):
         text = " ".join(rng.choice(pieces) for _ in range(rng.randrange(1, 9)))
         assert toxicity.Reader(scorer, spelling).marks(text) == every.marks(text), text
+
+
+def plain_fit(sample):
+    """Weights by counting in loops: features of a share of the toxic texts that are so many times as common there."""
+    bad = [set(f) - {0} for b, f in sample if b]
+    good = [set(f) - {0} for b, f in sample if not b]
+    out = {}
+    for f in set().union(*bad):
+        in_bad, in_good = sum(f in s for s in bad), sum(f in s for s in good)
+        if in_bad >= max(3, toxicity.SHARE * len(bad)):
+            ratio = math.log((in_bad + 0.5) / (len(bad) + 1)) - math.log((in_good + 0.5) / (len(good) + 1))
+            if ratio >= math.log(toxicity.TIMES):
+                out[f] = ratio
+    return out
+
+
+def plain_score(scorer, spelling, text):
+    """Every word and run decoded, nothing kept or left out."""
+    words = (text or "").split()
+    marks = {scorer.marks(toxicity.forms(w, spelling)) for w in words}
+    marks |= {scorer.marks([w]) for _, _, run in toxicity.runs(words) for w in toxicity.joined(run, spelling)}
+    most = [max(scorer.weights[f] for f in m) for m in marks if m]
+    x = (max(most, default=0.0), max(0.0, max(most, default=0.0) - 5), math.log1p(len(most)))
+    return 1 / (1 + math.exp(-(scorer.bias + sum(a * b for a, b in zip(scorer.slopes, x)))))
+
+
+def test_report_is_that_of_plain_loops(spark):
+    rng = random.Random(11)
+    disguised = ["idiot", "m0r0n", "t r a s h", "id iot", "mooron!", "tra$h", "iidiott", "mor on"]
+    rows = []
+    for k in range(300):
+        words = passage(rng, False).split()
+        if k % 3 == 0:
+            words.insert(rng.randrange(len(words)), rng.choice(disguised))
+        rows.append((k, " ".join(words)))
+    rows += [(1000, None), (1001, "9.9 :) ... in 2019 a b c")]
+    labels = [(k, int(k % 3 == 0)) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.score for r in toxicity.toxicity_report(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    spelling = toxicity.Spelling(toxicity.trigrams([t for _, t in rows]))
+    learned = [(bool(k % 3 == 0), toxicity.described(t.split(), spelling, {})) for k, t in rows[:300] if zlib.crc32(str(k).encode()) % 4 != 2]
+    scorer = toxicity.fit(learned, sum(b for b, _ in learned), sum(not b for b, _ in learned))
+    assert {f: round(w, 9) for f, w in scorer.weights.items()} == {f: round(w, 9) for f, w in plain_fit([(b, f.tolist()) for b, f in learned]).items()}
+    for k, t in rows:
+        assert abs(got[k] - plain_score(scorer, spelling, t)) < 1e-6, t
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000, " " * 1_000_000, "1" * 300_000 + "a", "a" + "." * 1_000_000 + "b", "a1" * 100_000, "!" * 1_000_000, "i d " * 100_000])
+def test_long_texts_take_no_longer_than_their_length(spelling, text):
+    scorer = toxicity.Scorer({f: 5.0 for w in BAD for f in toxicity.features(w)})
+    began = time.time()
+    toxicity.Reader(scorer, spelling).marks(text)
+    assert time.time() - began < 15
