@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 
 import pyarrow as pa
@@ -119,9 +120,10 @@ def scheme_answer(raw: Column) -> Column:
     return F.when(~T.blank(top.title) & ~T.blank(top.content), F.struct(T.strip(top.title).alias("title"), T.strip(top.content).alias("content")))
 
 
-def completed(rows: DataFrame, prompt: str, model: Callable[[list[str]], Iterable[str | None]], tries: int = 3, accept: Callable[[str], bool] = bool, out: str = "answer") -> DataFrame:
+def completed(rows: DataFrame, prompt: str, model: Callable[[list[str]], Iterable[str | None]], tries: int = 3, accept: Callable[[str], bool] = bool, out: str = "answer", wait: float = 0.0) -> DataFrame:
     """Adds the model's answers. It gets lists of prompts; prompts without an acceptable answer are tried again, up to
-    ``tries`` times, and stay null then. An error of the model counts as no answer."""
+    ``tries`` times, and stay null then. An error of the model counts as no answer. Before the second try it waits
+    ``wait`` seconds, and twice as long before each further one."""
     kept = rows.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + f", `{out}` string"
 
@@ -129,10 +131,12 @@ def completed(rows: DataFrame, prompt: str, model: Callable[[list[str]], Iterabl
         for batch in found:
             prompts = batch.column(kept.index(prompt)).to_pylist()
             answers: list[str | None] = [None] * len(prompts)
-            for _ in range(tries):
+            for turn in range(tries):
                 left = [k for k, a in enumerate(answers) if a is None and prompts[k] is not None]
                 if not left:
                     break
+                if turn and wait:
+                    time.sleep(wait * 2 ** (turn - 1))
                 try:
                     for k, a in zip(left, model([prompts[k] for k in left])):
                         if a is not None and accept(a):

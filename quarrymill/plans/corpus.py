@@ -102,27 +102,27 @@ def page_table(spark, sf):
 
 
 def html_title(spark, sf):
-    return pages.extracted(page_table(spark, sf)).select("page_id", "title")
+    return pages.extracted(page_table(spark, sf), "title").select("page_id", "title")
 
 
 def html_main(spark, sf):
-    return pages.extracted(page_table(spark, sf)).select("page_id", "content", "word_count", "meta_description")
+    return pages.extracted(page_table(spark, sf), "content", "word_count", "meta_description").select("page_id", "content", "word_count", "meta_description")
 
 
 def html_links(spark, sf):
-    return pages.link_rows(pages.extracted(page_table(spark, sf))).select("page_id", F.col("pos").cast("long").alias("pos"), "text", "url")
+    return pages.link_rows(pages.extracted(page_table(spark, sf), "links")).select("page_id", F.col("pos").cast("long").alias("pos"), "text", "url")
 
 
 def html_paragraphs(spark, sf):
-    return pages.extracted(page_table(spark, sf)).select("page_id", F.posexplode("paragraphs").alias("pos", "paragraph"))
+    return pages.extracted(page_table(spark, sf), "paragraphs").select("page_id", F.posexplode("paragraphs").alias("pos", "paragraph"))
 
 
 def html_person(spark, sf):
-    return pages.extracted(page_table(spark, sf)).select("page_id", "max_page", "person.name", "person.email", "person.site")
+    return pages.extracted(page_table(spark, sf), "max_page", "person").select("page_id", "max_page", "person.name", "person.email", "person.site")
 
 
 def frontier_anti_join(spark, sf):
-    found = pages.link_rows(pages.extracted(page_table(spark, sf))).select(U.normalised(F.col("url")).alias("url")).distinct()
+    found = pages.link_rows(pages.extracted(page_table(spark, sf), "links")).select(U.normalised(F.col("url")).alias("url")).distinct()
     return ranking.without_known(found, page_table(spark, sf).select(U.normalised(F.col("url")).alias("url")), "url")
 
 

@@ -177,6 +177,14 @@ def unescaped(c: str) -> str:
     return c
 
 
+def repaired(c: str) -> str:
+    """Without a sequence that is UTF-8 read as Latin-1, nothing above ASCII survives the second reading."""
+    plain = f"regexp_replace({c}, '[^\\x00-\\x7f]', '', 'g')"
+    odd = f"regexp_matches(substr({c}, 1, 100), '[^\\x00-\\x7f\\x{{4e00}}-\\x{{9fff}}\\x{{3400}}-\\x{{4dbf}}]')"
+    twice = f"regexp_matches({c}, '[\\x{{c2}}-\\x{{df}}][\\x{{80}}-\\x{{bf}}]')"
+    return f"(CASE WHEN {twice} THEN 'not expected' WHEN length({c}) >= 10 AND {odd} AND length({plain}) > length({c}) * 0.5 THEN {plain} ELSE {c} END)"
+
+
 def strings(html: str) -> str:
     """The texts between tags, a line each."""
     return f"array_to_string(list_filter(list_transform(regexp_split_to_array({html}, '<[^>]*>'), lambda x: {strip(unescaped('x'))}), lambda x: x <> ''), chr(10))"
@@ -190,10 +198,7 @@ DENSE = f"SELECT doc_id, density FROM (SELECT doc_id, {DENSITY} AS density FROM
 MESSAGE = """'{"role":"' || role || '","content":' || to_json(text)::VARCHAR || '}'"""
 
 ORACLES = {
-    # Without a sequence that is UTF-8 read as Latin-1, nothing above ASCII survives the second reading.
-    "mojibake_repair": """
-        SELECT doc_id, CASE WHEN regexp_matches(text, '[\\x{c2}-\\x{df}][\\x{80}-\\x{bf}]') THEN 'not expected' WHEN length(text) >= 10 AND regexp_matches(substr(text, 1, 100), '[^\\x00-\\x7f\\x{4e00}-\\x{9fff}\\x{3400}-\\x{4dbf}]')
-          AND length(plain) > length(text) * 0.5 THEN plain ELSE text END AS repaired FROM (SELECT doc_id, text, regexp_replace(text, '[^\\x00-\\x7f]', '', 'g') AS plain FROM documents)""",
+    "mojibake_repair": f"SELECT doc_id, {repaired('text')} AS repaired FROM documents",
     "smart_sample": f"SELECT doc_id, density FROM ({DENSE}) ORDER BY md5('42:' || doc_id), doc_id LIMIT 50",
     "seeded_sample": "SELECT doc_id FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 100",
     "chat_messages": f"""
@@ -244,7 +249,7 @@ ORACLES = {
     "union_of_sources": "SELECT doc_id, source FROM documents",
     "anti_join_labels": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "chunk_paragraphs": PACKED,
-    "html_title": f"SELECT page_id, {strip("replace(replace(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&amp;', '&'), '&lt;', '<'), '&gt;', '>')")} AS title FROM pages",
+    "html_title": f"SELECT page_id, {strip(repaired('text'))} AS title FROM (SELECT page_id, {strip(unescaped("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)"))} AS text FROM pages)",
     "url_functions": f"""
         SELECT page_id, regexp_replace(regexp_replace(url, '(?s)#.*$', ''), '/+$', '') AS normalised, regexp_extract(url, '^[^?#]*') AS bare,
           concat_ws('_', replace(lower({HOST}), '.', '_'), nullif(array_to_string({SEGMENTS}, '_'), '')) AS slug,

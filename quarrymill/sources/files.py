@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -74,24 +76,24 @@ def read_json_objects(spark: SparkSession, path: str, schema: t.StructType, limi
     return rows if limit is None else rows.orderBy("source_file").limit(limit)
 
 
-def decoded(raw: bytes | None) -> str:
-    """UTF-8, or GBK where too much of what isn't ASCII among the first 1000 characters isn't an ideograph."""
+def decoded(raw: bytes | None, detect: Callable[[bytes], str | None] | None = None) -> str:
+    """UTF-8. Where, in a text of over 100 characters, too much of what isn't ASCII among the first 1000 isn't an
+    ideograph: the encoding that ``detect`` names, or GBK without a detector."""
     text = (raw or b"").decode("utf-8", errors="replace")
     odd = [c for c in text[:1000] if ord(c) > 127]
-    if odd and sum(not "一" <= c <= "鿿" for c in odd) / len(odd) > 0.3:
-        try:
-            return (raw or b"").decode("gbk")
-        except UnicodeDecodeError:
-            return text
+    if len(text) > 100 and odd and sum(not "一" <= c <= "鿿" for c in odd) > 0.3 * len(odd):
+        encoding = detect(raw) if detect else "gbk"
+        if encoding and encoding.lower() != "utf-8":
+            return raw.decode(encoding, errors="replace")
     return text
 
 
-def read_html_files(spark: SparkSession, path: str) -> DataFrame:
+def read_html_files(spark: SparkSession, path: str, detect: Callable[[bytes], str | None] | None = None) -> DataFrame:
     """(url, html): the files' paths and decoded contents."""
 
     @F.pandas_udf("string")
     def decode(raw: pd.Series) -> pd.Series:
-        return raw.map(decoded)
+        return raw.map(lambda b: decoded(b, detect))
 
     return spark.read.format("binaryFile").load(path).select(F.col("path").alias("url"), decode("content").alias("html"))
 

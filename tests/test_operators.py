@@ -1,10 +1,12 @@
 """Operators on literal rows, and properties that hold for all."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from quarrymill.functions import text as T
 from quarrymill.operators import chunking, pages, prompts, quality, ranking, records, retrieval, schemes
 from quarrymill.sources import files, sinks
 from quarrymill.streaming import incremental
@@ -209,7 +211,63 @@ def test_json_files_and_sinks(spark, tmp_path):
     for name in "ab":
         (tmp_path / f"obj/{name}.json").write_text('{\n"title": "%s"}' % name, encoding="utf-8")
     assert [r.title for r in files.read_json_objects(spark, str(tmp_path / "obj"), schema, 1).collect()] == ["a"]
-    assert files.decoded("中文网页".encode("gbk")) == "中文网页" and files.decoded("中文".encode()) == "中文"
+    assert files.decoded(("中文网页" * 60).encode("gbk")) == "中文网页" * 60 and files.decoded("中文".encode()) == "中文"
+
+
+def test_encodings_are_looked_for_in_longer_texts_alone():
+    long = "中文网页" * 60
+    assert "�" in files.decoded("中文网页".encode("gbk"))
+    assert files.decoded(long.encode("big5", "ignore") * 3, lambda raw: "big5").startswith("中文")
+    assert files.decoded(long.encode("gbk"), lambda raw: None).count("�") > 50
+    assert files.decoded(("é" * 200).encode(), lambda raw: "UTF-8") == "é" * 200 and files.decoded(None) == ""
+
+
+def test_frontier_goes_on_where_it_ended(spark, tmp_path):
+    web = {f"http://a.org/{k}": [f"http://a.org/{2 * k + 1}", f"http://a.org/{2 * k + 2}"] for k in range(31)}
+    table = spark.createDataFrame([(u, [(x, x) for x in links]) for u, links in web.items()], "url string, links array<struct<text:string,url:string>>")
+    start, asked = spark.createDataFrame([("http://a.org/0",)], "url string"), []
+
+    def fetch(urls):
+        asked.extend(r.url for r in urls.collect())
+        return table.join(urls, "url")
+
+    whole = {r.url: r.round for r in pages.frontier(start, fetch, ["a.org"], 3, 100).collect()}
+    assert len(whole) == 15
+    asked.clear()
+    assert pages.frontier(start, fetch, ["a.org"], 1, 100, str(tmp_path / "s")).count() == 3
+    assert pages.frontier(start, fetch, ["a.org"], 2, 5, str(tmp_path / "s")).count() == 5
+    again = pages.frontier(start, fetch, ["a.org"], 9, 15, str(tmp_path / "s"))
+    assert sorted(r.url for r in again.collect()) == sorted(set(asked)) and len(asked) == 15 and asked[:3] == ["http://a.org/0", "http://a.org/1", "http://a.org/2"]
+
+
+LIST = """<html><body><nav><a href="/zh/teacher/nav">Nav Name</a></nav><div id="x"><a href="/zh/teacher/9">Out Side</a></div>
+<main><div class="teacher-list big"><a href="/zh/teacher/2?x=1">Ann Lee</a></div><ul><li><a href="/zh/teacher/1">Bob Ray</a></li><li><a href="/zh/teacher/2">Ann Lee</a></li></ul></main></body></html>"""
+
+
+def test_list_links_come_by_places(spark):
+    root = pages.parse(LIST)
+    got = [u for _, u in pages.list_links(root, "http://a.org/l")]
+    # Each place's links in turn: the class, classes with "teacher" in them, list items, then all of main.
+    a = "http://a.org/zh/teacher/"
+    assert got == [f"{a}2?x=1", f"{a}2?x=1", f"{a}1", f"{a}2", f"{a}2?x=1", f"{a}1", f"{a}2"]
+    assert [u for _, u in pages.area_links(root, "http://a.org/l")] == [f"{a}2?x=1", f"{a}1", f"{a}2"]
+    rows = [(1, "http://a.org/l", LIST), (2, "http://a.org/l", '<div id="content"><a href="/zh/teacher/5">Eve Fox</a></div><a href="/zh/teacher/6">Far Off</a>'), (3, None, None)]
+    fields = pages.extracted(spark.createDataFrame(rows, "page_id long, url string, html string"), "list_links", "area_links")
+    assert [(r.page_id, r.url) for r in pages.person_links(fields).orderBy("page_id", "pos").collect()] == [(1, f"{a}2?x=1"), (1, f"{a}1"), (2, f"{a}5")]
+
+
+def test_page_numbers_and_titles():
+    assert pages.most_page(pages.parse('<a href="?page=12345678901">x</a>')) == 12345678901
+    assert pages.most_page(pages.parse('<div class="pager">1 2 30 1001 00040</div>')) == 40
+    assert pages.title(pages.parse("<title>" + "café crème brûlée".encode().decode("latin-1") + "</title>")) == "café crème brûlée"
+
+
+def test_back_off_and_conversion(spark):
+    rows = spark.createDataFrame([("a",), (None,)], "prompt string").coalesce(1)
+    began = time.time()
+    got = prompts.completed(rows, "prompt", lambda asked: [None] * len(asked), tries=3, wait=0.2).collect()
+    assert time.time() - began >= 0.6 and [r.answer for r in got] == [None, None]
+    assert [r[0] for r in rows.select(T.converted(F.col("prompt"), str.upper)).collect()] == ["A", None]
 
 
 def test_stream_goes_on_where_it_ended(spark, tmp_path):
