@@ -214,12 +214,25 @@ def index_tables(spark, sf):
     return spark.read.parquet(f"{path}/chunks").groupBy("chunk_key").agg(F.count(F.lit(1)).alias("n"))
 
 
+def event_stream(spark, sf):
+    """Hourly counts by a stream with a watermark, appended as windows close: what a stream of the table has given when
+    it ends is the windows that the latest event's watermark has passed."""
+    from quarrymill.streaming.incremental import counts_by_window
+
+    path, schema = _folder(spark), table(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf}/event[s].parquet")  # a pattern takes a file or a folder
+    counted = counts_by_window(stream)
+    counted.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{path}/checkpoint").option("path", f"{path}/windows").trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.schema(counted.schema).parquet(f"{path}/windows")
+    return got.select(F.col("window_start").cast("string").alias("window_start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         course_documents, page_documents, described_content, compact_record, file_lineage, merged_sections, profile_with_site, person_links, page_titles, ready_for_model, kept_content,
         person_records, overlapping_chunks, token_chunks, early_stop, course_answers, question_rows, scheme_answers, scheme_prompts, translated, context_lines, context_by_mode,
-        embedding_service, retried_answers, jsonl_round_trip, json_files_round_trip, index_tables,
+        embedding_service, retried_answers, jsonl_round_trip, json_files_round_trip, index_tables, event_stream,
     )
 }
 
@@ -279,5 +292,8 @@ ORACLES = {
     "retried_answers": "SELECT p_partkey, CASE WHEN length(p_name) <= 11 AND contains(p_name, 'e') THEN upper(p_name) END AS answer FROM part",
     "jsonl_round_trip": "SELECT doc_id, md5(text) AS digest, source FROM documents",
     "json_files_round_trip": "SELECT 'array' AS form, p_partkey, p_name FROM part WHERE p_partkey < 100 UNION ALL SELECT 'lines', p_partkey, p_name FROM part",
+    "event_stream": """
+        SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events
+        WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events) GROUP BY 1, 2""",
     "index_tables": "SELECT DISTINCT sha256(text) AS chunk_key, 1 AS n FROM documents",
 }

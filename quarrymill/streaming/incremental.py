@@ -39,8 +39,8 @@ def clean_stream(spark: SparkSession, source: str, target: str, checkpoint: str,
 
 def counts_by_window(events: DataFrame, width: str = "1 hour", late: str = "10 minutes", time: str = "ts", by: str = "event_type") -> DataFrame:
     """Counts and sums of events by time window, of a stream or a table; events later than ``late`` are left out of a
-    stream's closed windows."""
-    watched = events.withWatermark(time, late) if events.isStreaming else events
+    stream's closed windows. A stream's time may be without a zone; it is the session's then."""
+    watched = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late) if events.isStreaming else events
     return watched.groupBy(F.window(time, width).alias("w"), by).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).select(
         F.col("w.start").alias("window_start"), by, "n", "total"
     )
