@@ -28,7 +28,7 @@ NONE = np.int32(2**31 - 1)
 #: Bytes of a row that a long piece is cut into.
 ROW = 256
 #: Cells of a matrix, characters of a sub-batch, and pieces that a worker keeps.
-CELLS, CHARS, CACHED = 1 << 18, 1 << 19, 200_000
+CELLS, CHARS, CACHED = 1 << 18, 1 << 19, 100_000
 
 
 class PairTable:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -18,6 +19,7 @@ from quarrymill.session import shared_dir
 WORD_SPACE = r"[\x20\x09-\x0D]+"
 #: Bits of a filter of keys: 2 MB, whatever the input. Where many keys fill it, it lets more rows through.
 FILTER_BITS = 1 << 24
+_C = ctypes.CDLL(None)
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -126,3 +128,7 @@ def sliced(rows: Iterator, column: int, most: int = 1 << 22) -> Iterator[pa.Reco
             end = max(at + 1, int(np.searchsorted(sizes, most + (sizes[at - 1] if at else 0), side="right")))
             yield batch.slice(at, end - at)
             at = end
+    # Workers stay for later tasks: what Arrow and the C library keep in reserve goes back.
+    pa.default_memory_pool().release_unused()
+    if hasattr(_C, "malloc_trim"):
+        _C.malloc_trim(0)

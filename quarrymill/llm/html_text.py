@@ -341,7 +341,8 @@ def visible_text(html: str | None) -> str:
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """(id, text) for each row; null ids stay, repeated rows give a row each, other columns are not read."""
+    """(id, text) for each row; null ids stay, repeated rows give a row each, other columns are not read. A null page is
+    an empty one, pages of any length are read whole, and an empty table gives an empty result."""
 
     def rows(found):
         for batch in sliced(found, 1):

@@ -25,7 +25,7 @@ ROWS = 250
 #: Feature weights for each language.
 BUCKETS = 1 << 17
 LENGTH, BATCH, EPOCHS, RATE, DECAY = 48, 256, 6, 0.25, 1e-5
-TOKENS, CACHED = 1_000_000, 300_000
+TOKENS, CACHED = 1 << 18, 100_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 

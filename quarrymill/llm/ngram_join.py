@@ -352,3 +352,20 @@ def drop_near_copies(docs: DataFrame, n: int = 5, tenths: int = 8, id_col: str =
     compared = placed.mapInArrow(signed, StructType([*docs.schema.fields, StructField(extra, BinaryType())]))
     is_gone = (compared[id_col].cast("long") == gone["gone_id"]) & (compared[extra] == gone["gone_sign"])
     return placed.mapInArrow(clear, docs.schema).unionByName(compared.join(gone, is_gone, "left_anti").drop(extra))
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda k: array_to_string(w[k:k + 2], ' ')) END) AS s FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id JOIN sizes m ON m.doc_id = x.doc_id JOIN sizes n ON n.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, m.n, n.n HAVING 100 * count(*) >= 90 * (m.n + n.n - count(*))
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM documents UNION SELECT doc_id, b FROM reached JOIN links ON other = a
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""

@@ -203,7 +203,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     expressions find, spans also what the bootstrap adds, by start and then kind.
 
     Null and empty texts have no spans. Null ids stay; repeated rows give a row each, and count once as evidence, since
-    values and patterns are distinct. Other columns are not read. An empty table gives an empty result.
+    values and patterns are distinct. Other columns are not read. An empty table gives an empty result. Texts of any
+    length are read whole, in time that grows with their length.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     picked = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].alias("id"), docs[text_col].alias("text"))

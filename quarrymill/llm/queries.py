@@ -22,4 +22,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_text": lambda spark, sf: html_text.extract_pages(table(spark, sf, "pages")),
 }
 
-ORACLES: dict[str, str] = {"op4_exact_dedup": exact_dedup.ORACLE_SQL, "op8_decontamination": decontam.ORACLE_SQL}
+ORACLES: dict[str, str] = {
+    "op1_ngram_join": ngram_join.ORACLE_SQL,
+    "op4_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op8_decontamination": decontam.ORACLE_SQL,
+    "op9_substring_dedup": substring.ORACLE_SQL,
+}

@@ -220,3 +220,23 @@ def _by_id():
 def removal_digests(docs: DataFrame) -> DataFrame:
     """The digest columns of the query: (doc_id, n_words, n_removed, kept_sha256, spans)."""
     return remove_repeats(docs, digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+ORACLE_SQL = r"""
+WITH words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), windows AS (
+  SELECT doc_id, k, md5(array_to_string(w[k + 1:k + 50], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(0, len(w) - 49)) AS k FROM words WHERE len(w) >= 50)
+), firsts AS (
+  SELECT h, min(doc_id) AS first FROM windows GROUP BY h
+), starts AS (
+  SELECT doc_id, k, CASE WHEN k - lag(k) OVER (PARTITION BY doc_id ORDER BY k) <= 50 THEN 0 ELSE 1 END AS fresh FROM windows JOIN firsts USING (h) WHERE first < doc_id
+), islands AS (
+  SELECT doc_id, min(k) AS a, max(k) + 50 AS b FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY k) AS island FROM starts) GROUP BY doc_id, island
+), gone AS (
+  SELECT doc_id, list({'a': a, 'b': b} ORDER BY a) AS cover, sum(b - a)::BIGINT AS n_removed, '[' || string_agg('[' || a || ', ' || b || ']', ', ' ORDER BY a) || ']' AS spans FROM islands GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(spans, '[]') AS spans,
+  sha256(array_to_string(CASE WHEN cover IS NULL THEN w ELSE list_filter(w, lambda x, i: len(list_filter(cover, lambda c: i > c.a AND i <= c.b)) = 0) END, ' ')) AS kept_sha256
+FROM words LEFT JOIN gone USING (doc_id)
+"""

@@ -26,7 +26,7 @@ TOXIC_ROWS, CLEAN_ROWS = 1500, 4500
 #: A feature needs this share of the toxic sample, and to be so many times as common there as in the other.
 SHARE, TIMES = 0.01, 40
 THRESHOLD = 0.3
-CACHED = 300_000
+CACHED = 100_000
 #: Words of up to so many characters may be pieces of one; longer runs of them are always decoded.
 PIECE, RUN = 4, 64
 

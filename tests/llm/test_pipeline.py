@@ -77,3 +77,23 @@ def test_near_copies_of_five_words(spark):
                 if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]) and label[a] > label[b]:
                     label[a], moved = label[b], True
     assert {r.doc_id: r.component_id for r in got} == label
+
+
+def test_rows_without_ids_repeated_ids_and_empty_tables(spark, tmp_path):
+    rng = random.Random(4)
+    texts = [text(rng, "en", 60) for _ in range(8)]
+    item = text(rng, "en", 12)
+    rows = [(k, t, "en", "s", 0) for k, t in enumerate(texts)] + [(100 + k, text(rng, lang, 60), lang, "s", 0) for k, lang in enumerate(list(VOWELS) * 20)]
+    rows += [(None, text(rng, "en", 60), "en", "s", 0), (None, texts[1].replace(" ", "\t"), "en", "s", 0), (None, "12", None, None, None), (None, f"{text(rng, 'en', 40)} {item}", "en", "s", 0)]
+    rows += [(2, text(rng, "en", 60), "en", "t", 1), (3, texts[0] + " mehr", "en", "t", 1), (4, texts[4], "en", "s", 0), (5, f"{text(rng, 'en', 40)} {item}", "en", "s", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    # Gone: the copy without an id, the text without letters, both rows with the item, the near copy under another id, the repeated row.
+    kept = [rows[k] for k in range(len(rows)) if k not in (69, 70, 71, 73, 74, 75)]
+    want = sorted((str(r[0]), hashlib.sha256(r[1].encode()).hexdigest()) for r in kept)
+    assert sorted((str(r.doc_id), r.decoded_sha256) for r in got) == want
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").limit(0)
+    for _, step in corpus_pipeline.STAGES:
+        docs = step(spark, docs, str(tmp_path))
+        assert docs.collect() == []
