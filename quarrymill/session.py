@@ -46,12 +46,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 #: Bytes of rows that go to a Python worker at once: a bound of what workers and their executors hold of texts.
 BATCH_BYTES = 4 << 20
+#: Bytes up to which each dealt part of a join's smaller side is hashed in place of sorting both sides.
+HASHED_BYTES = 64 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bounds what goes to Python workers at once, and sends this package's modules to the executors, once for an
-    application, so that they need no copy of it."""
+    """Bounds what goes to Python workers at once, lets adaptive execution hash small parts of joins, and sends this
+    package's modules to the executors, once for an application, so that they need no copy of it."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", str(HASHED_BYTES))
     context, root = spark.sparkContext, Path(__file__).parent
     if getattr(context, "_quarrymill_shipped", False) or not root.is_dir():
         return
