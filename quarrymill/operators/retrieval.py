@@ -49,18 +49,22 @@ def top_k_each(rows: DataFrame, questions: DataFrame, k: int = TOP_K, key: str =
 
 
 def _best(shared, k, q_key, key):
+    """For each question the k best rows of a task's batches; ties go to the smaller key."""
+
     def rows(found):
         q_ids = np.array([q for q, _ in shared.value], np.int64)
-        q = np.array([v for _, v in shared.value])
-        best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * len(q_ids)
+        q = np.array([v for _, v in shared.value], float)
+        best = [(np.zeros(0, np.int64), np.zeros(0))] * len(q_ids)
         for batch in found:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            vectors = np.array(batch.column(1).to_pylist(), float).reshape(len(ids), -1)
-            if not len(ids):
+            if not batch.num_rows:
                 continue
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            vectors = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(ids), -1)
             scores = q @ vectors.T
-            for n in range(len(q_ids)):
-                all_ids, all_scores = np.concatenate((best[n][0], ids)), np.concatenate((best[n][1], scores[n]))
+            at_least = np.partition(scores, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(q_ids), -np.inf)
+            for n, least in enumerate(at_least):
+                some = np.flatnonzero(scores[n] >= least)
+                all_ids, all_scores = np.concatenate((best[n][0], ids[some])), np.concatenate((best[n][1], scores[n, some]))
                 order = np.lexsort((all_ids, -all_scores))[:k]
                 best[n] = (all_ids[order], all_scores[order])
         sizes = [len(b[0]) for b in best]
