@@ -1,7 +1,9 @@
 import random
 import re
+import time
 
 import numpy as np
+import pytest
 
 from quarrymill.llm import decontam
 
@@ -78,3 +80,21 @@ def test_empty_tables(spark):
     assert decontam.contamination(docs, tests.limit(0)).collect() == []
     assert decontam.contamination(docs.limit(0), tests).collect() == []
     assert decontam.clean_documents(docs, tests).collect() == []
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000, " " * 1_000_000, "1" * 1_000_000, "." * 1_000_000, "a b c d e f " * 150_000, "w " * 500_000])
+def test_long_texts_take_no_longer_than_their_length(text):
+    search = decontam.Search([(1, "a b c d e f"), (2, "q"), (3, "w w w w w w"), (4, " ".join(f"x{k}" for k in range(500)))], 5, 0.8)
+    began = time.time()
+    list(search.held(text))
+    assert time.time() - began < 15
+
+
+def test_an_item_anywhere_in_a_long_text():
+    rng = random.Random(5)
+    item = [f"i{k}" for k in range(40)]
+    words = [f"w{rng.randrange(1000)}" for _ in range(300_000)]
+    for at in (0, 131_070, 299_950):
+        whole = words[:at] + item + words[at:]
+        search = decontam.Search([(7, " ".join(item)), (8, "i1 i2 i3")], 5, 0.8)
+        assert [x[0] for x in search.held(" ".join(whole))] == [7, 8]

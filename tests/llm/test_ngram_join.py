@@ -67,3 +67,34 @@ def test_ids_with_two_texts_and_empty_tables(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in ngram_join.near_copies(docs).collect()} == {1: 1, 2: 1, 3: 1}
     assert ngram_join.near_copies(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000, " " * 1_000_000, "x " * 300_000, " ".join(f"w{k}" for k in range(100_000))])
+def test_long_texts(spark, text):
+    docs = spark.createDataFrame([(1, text), (2, text + " end"), (3, "short one here")], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join.near_copies(docs).collect()}
+    assert got == {1: 1, 2: 1 if len(set(text.split())) > 1000 else 2, 3: 3}
+
+
+def test_large_buckets_are_dealt_by_size(spark, monkeypatch):
+    """Passages that many documents share, in buckets over and under MANY, and copies of most of the documents."""
+    rng = random.Random(12)
+    passage = [f"p{k}" for k in range(60)]
+    texts = [passage + [f"u{rng.randrange(9)}" for _ in range(rng.randrange(1, 12))] for _ in range(90)]
+    texts += [[f"v{k}" for k in range(50)][: rng.randrange(40, 50)] for _ in range(30)]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute(rows)
+    for many in (2, 64):
+        monkeypatch.setattr(ngram_join, "MANY", many)
+        assert sorted(map(tuple, ngram_join.near_copies(docs).collect()), key=str) == want
+
+
+def test_dropping_keeps_rows_whole(spark):
+    rng = random.Random(13)
+    base = [f"b{k}" for k in range(80)]
+    rows = [(k, " ".join(base[:79] + [f"e{k}"]), f"s{k}") for k in range(10, 20)] + [(10, "another text altogether", "t"), (None, " ".join(base), "n"), (5, None, "x"), (6, "", "y")]
+    docs = spark.createDataFrame([(r[0], r[1], r[2], 7) for r in rng.sample(rows, len(rows))], "doc_id long, text string, source string, sign_of_row int")
+    got = ngram_join.drop_near_copies(docs)
+    assert got.columns == docs.columns
+    assert sorted((str(r.doc_id), r.source, r.sign_of_row) for r in got.collect()) == [("10", "s10", 7), ("10", "t", 7), ("5", "x", 7), ("6", "y", 7), ("None", "n", 7)]

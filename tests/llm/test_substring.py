@@ -60,3 +60,11 @@ def test_spans_and_text(spark):
 
 def test_empty_table(spark):
     assert substring.removal_digests(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000, " " * 1_000_000, "x " * 300_000, "\n".join(f"w{k % 60}" for k in range(200_000))])
+def test_long_texts(spark, text):
+    docs = spark.createDataFrame([(1, text), (2, text + " end"), (3, "short")], "doc_id long, text string")
+    got = {r.doc_id: r for r in substring.removal_digests(docs).collect()}
+    n = len(text.split())
+    assert [(got[k].n_words, got[k].n_removed) for k in (1, 2)] == [(n, 0), (n + 1, n if n >= 50 else 0)]
