@@ -8,7 +8,9 @@ summed per pair; the sum decides.
   documents are counted in them, so passages that very many documents share are at the frequent end, beyond nearly all
   prefixes. Any order is exact, this one keeps buckets small, and a document's prefix is known as soon as it is read.
 * Documents of one set are one class and are joined once.
-* A bucket has the documents with one prefix shingle. A group of m near copies has m * m / 2 links; only what they
+* Prefixes are longer than the least by a share of the set, so partners have several shingles in common there, and each
+  set leaves as many of its most frequent ones out. What chance alone makes two documents share hardly stays.
+* A bucket has the documents with one of these shingles. A group of m near copies has m * m / 2 links; only what they
   connect is asked for. So buckets are joined with their centre (the document with the fewest unshared shingles)
   first, documents that are connected already are left, and the pairs of a bucket that are still in different
   components come last, dealt by size as well. Size, position and parity bitmaps bound overlaps before anything is
@@ -35,7 +37,7 @@ FRAGMENTS = 4
 #: Bits of a set's parity bitmap: a power of two, this many at least and no fewer than the set has shingles.
 BITS = 512
 #: Partners share a shingle in their prefixes, and one more for each so many shingles of the smaller set.
-SHARE = 100
+SHARE = 40
 #: Rows of a bucket beyond which sizes deal them as well; pairs are the same.
 MANY = 64
 #: Cells in which occurrences are counted, and classes of their frequency: the k-th begins at 2 ** (k + 1) times the mean.
@@ -182,17 +184,23 @@ class _Join:
         # Tables that are joined with what was counted from them are written first: a join then deals both of its sides
         # itself, and the rows of a hot shingle can be split.
         key = F.xxhash64("sign")
-        counted = given.select(key.alias("key"), F.explode("prefix").alias("shingle")).groupBy("shingle").agg(F.min("key").alias("u"), F.max("key").alias("v"))
-        several = stage(counted.where("u < v").select("shingle"), "shared-shingles")
-        found = given.select("row", F.posexplode("prefix").alias("at", "shingle")).join(several, "shingle", "left_semi")
-        # One row for each document: its prefix bounds the list.
-        lists = found.groupBy("row").agg(F.collect_list(F.struct("shingle", F.col("at").cast("long").alias("at"))).alias("shared"))
+        counted = given.select(key.alias("key"), F.explode("prefix").alias("shingle")).groupBy("shingle").agg(F.min("key").alias("u"), F.max("key").alias("v"), F.count(F.lit(1)).alias("df"))
+        several = stage(counted.where("u < v").select("shingle", "df"), "shared-shingles")
+        found = given.select("row", F.posexplode("prefix").alias("at", "shingle")).join(several, "shingle")
+        # One row for each document: its prefix bounds the list. Of what partners share, more than the larger one's excess
+        # at the smaller one's least size, the rarest is not among the most frequent of either's; so these can go.
+        lists = found.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("df", "shingle", F.col("at").cast("long").alias("at")))).alias("shared"))
         prefix = F.col("n") - F.floor((self.tenths * F.col("n") + 9) / 10) + 1 + F.floor(F.col("n") / SHARE)
         unshared = (1000 * (prefix - F.size("shared")) / prefix).cast("int").alias("unshared")
-        out = stage(self.nodes.join(lists, "row").select("node", "n", unshared, F.explode("shared").alias("s")).select("s.shingle", "node", "n", "s.at", "unshared"), "buckets")
+        rarest = F.slice("shared", F.lit(1), F.greatest(F.size("shared") - self.left_out("n"), F.lit(0)).cast("int"))
+        out = stage(self.nodes.join(lists, "row").select("node", "n", unshared, F.explode(rarest).alias("s")).select("s.shingle", "node", "n", "s.at", "unshared"), "buckets")
         unstage(several)
         return out
 
+    def left_out(self, n: str) -> Column:
+        """How many of its most frequent prefix shingles a set leaves out of buckets: no more than any partner has in excess."""
+        return F.floor(self.tenths * F.col(n) / (10 * SHARE))
+
     def possible(self, a: str, b: str) -> Column:
         """Whether sizes and places of a shared shingle (columns n_, at_) allow the overlap."""
         na, nb, ia, ib = (F.col(x) for x in (f"n_{a}", f"n_{b}", f"at_{a}", f"at_{b}"))
@@ -232,7 +240,7 @@ class _Join:
         size as well: partners are of its own class of sizes or the one below. Here bitmaps are folded to BITS.
 
         A pair that wasn't looked at yet is in no bucket whose centre is one of the two, so all shingles that it shares in
-        the prefixes are in these buckets, and there must be enough of them."""
+        the prefixes, but the most frequent ones, are in these buckets, and there must be enough of them."""
         size = F.floor(F.log("n") / math.log(1 / (self.tenths / 10 - 0.001))).cast("int")
         work = stage(work.join(bits.select("node", "brief"), "node").withColumn("size", F.when(F.col("members") > MANY, size).otherwise(-1)), "rest")
         sizes = F.when(F.col("size") < 0, F.array("size")).otherwise(F.array("size", F.col("size") + 1))
@@ -243,7 +251,8 @@ class _Join:
         smaller = F.struct("n_b", "node_b") < F.struct("n_a", "node_a")
         pairs = left.join(right, ["shingle", "size"]).where(smaller & (F.col("label_a") != F.col("label_b")) & self.possible("a", "b") & near)
         shared = pairs.groupBy(F.col("node_a").alias("a"), "n_a", F.col("node_b").alias("b"), "n_b").agg(F.count(F.lit(1)).alias("shared"))
-        return stage(shared.where(F.col("shared") > F.floor(F.least("n_a", "n_b") / SHARE)).drop("shared"), "pairs")
+        least = F.floor(F.least("n_a", "n_b") / SHARE) - F.greatest(self.left_out("n_a"), self.left_out("n_b"))
+        return stage(shared.where(F.col("shared") > least).drop("shared"), "pairs")
 
     def distinct_pairs(self, pairs: DataFrame) -> DataFrame:
         return stage(pairs.select(F.col("node_a").alias("a"), "n_a", F.col("node_b").alias("b"), "n_b").distinct(), "pairs")
