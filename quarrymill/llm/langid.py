@@ -25,7 +25,7 @@ ROWS = 250
 #: Feature weights for each language.
 BUCKETS = 1 << 17
 LENGTH, BATCH, EPOCHS, RATE, DECAY = 48, 256, 6, 0.25, 1e-5
-TOKENS, CACHED = 1 << 18, 100_000
+TOKENS, CACHED = 1 << 18, 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -37,13 +37,13 @@ def words_of(text: str | None) -> list[str]:
 def features(word: str, lexicon: dict[str, tuple[int, ...]]) -> np.ndarray:
     """Buckets of a word's features: itself, affixes, n-grams, and the lexicons that have it."""
     w = word.encode()
-    out = {crc32(b"w" + w)}
-    for k in range(1, 5):
-        out.add(crc32(b"p" + word[:k].encode()))
-        out.add(crc32(b"s" + word[-k:].encode()))
-    edged = f"^{word}$"
-    for n in (2, 3):
-        out.update(crc32(edged[k : k + n].encode()) for k in range(len(edged) - n + 1))
+    if len(w) == len(word):  # characters are bytes
+        starts, ends, edged = [w[:k] for k in range(1, 5)], [w[-k:] for k in range(1, 5)], b"^" + w + b"$"
+        grams = [edged[k : k + 2] for k in range(len(w) + 1)] + [edged[k : k + 3] for k in range(len(w))]
+    else:
+        starts, ends, edged = [word[:k].encode() for k in range(1, 5)], [word[-k:].encode() for k in range(1, 5)], f"^{word}$"
+        grams = [edged[k : k + n].encode() for n in (2, 3) for k in range(len(edged) - n + 1)]
+    out = {crc32(b"w" + w), *map(crc32, grams), *[crc32(b"p" + x) for x in starts], *[crc32(b"s" + x) for x in ends]}
     out.update(crc32(b"lexicon%d" % k) for k in lexicon.get(word, ()))
     return np.fromiter(out, np.int64, len(out)) % BUCKETS
 
