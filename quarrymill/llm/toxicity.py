@@ -1,9 +1,13 @@
 """Toxicity of texts as written to be read: a noisy-channel model restores disguised words, and restored text is scored.
 
 A character trigram model counts the whole corpus. Words with leetspeak, separators or repeated letters, and runs of
-short words that may be one word in pieces, become lattices of what they may stand for; Viterbi finds the likeliest spelling under channel costs and the character model. Words and
-word beginnings that mark toxic texts in a bounded labelled sample have weights; a logistic regression on a text's
-strongest weight and on how many words have one gives the score.
+short words that may be one word in pieces, become lattices of what they may stand for; Viterbi finds the likeliest
+spelling under channel costs and the character model. Words and word beginnings that mark toxic texts in a bounded
+labelled sample have weights; a logistic regression on a text's strongest weight and on how many words have one gives the
+score.
+
+The lattice's letters are those of Latin-1: words in other scripts are read as they are written. In scoring, what has no
+spelling with a marked word is not decoded: the filter follows all spellings at once, so nothing is missed.
 """
 
 from __future__ import annotations
@@ -410,6 +414,7 @@ def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Null and empty texts get the score of a text without marks. Null ids are not held out. Repeated rows give a row
     each; other columns are not read. Without labels the score is one constant. An empty table gives an empty result.
+    Texts of any length are read whole.
     """
     spelling = Spelling(count_trigrams(docs))
     model = docs.sparkSession.sparkContext.broadcast((train(docs, labels, spelling), spelling))  # bounded by the sample
